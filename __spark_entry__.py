@@ -110,7 +110,6 @@ def _top_n_for_user(spark, folder) -> DataFrame:
         tables.user_factors(spark, folder),
         tables.item_factors(spark, folder),
         USER_ID,
-        rank=RANK,
     )
     return _rounded(found, S.PREDICTION)
 
@@ -134,7 +133,7 @@ def _recommend_all_unseen(spark, folder) -> DataFrame:
 
 def _similar_items(spark, folder) -> DataFrame:
     found = similar.similar_items(
-        tables.item_factors(spark, folder), tables.catalog(spark, folder), MOVIE_ID, rank=RANK
+        tables.item_factors(spark, folder), tables.catalog(spark, folder), MOVIE_ID
     )
     return _rounded(found, S.SIMILARITY)
 
@@ -197,15 +196,10 @@ def _als_item_factors(spark, folder) -> DataFrame:
 
 def _als_predict(spark, folder) -> DataFrame:
     model, split = _trained(spark, folder)
-    predicted = factorize.predict(model, splitting.side(split, S.TEST))
-    scored = scoring.score_pairs(
-        predicted.withColumnRenamed(S.PREDICTION, "predicted"),
-        model.userFactors,
-        model.itemFactors,
-        CLEANING.rank,
-    )
-    agrees = F.abs(F.col("predicted") - F.col(S.PREDICTION)) < 1e-4
-    return scored.select(S.USER, S.ITEM, S.RATING, agrees.alias("is_inner_product"))
+    ours = factorize.predict(model, splitting.side(split, S.TEST))
+    both = model.transform(ours.withColumnRenamed(S.PREDICTION, "ours"))
+    agrees = F.abs(F.col("ours") - F.col(S.PREDICTION)) < 1e-4
+    return both.select(S.USER, S.ITEM, S.RATING, agrees.alias("as_mllib"))
 
 
 def _als_evaluate(spark, folder) -> DataFrame:
@@ -221,7 +215,6 @@ def _als_top_n_for_user(spark, folder) -> DataFrame:
         model.userFactors,
         model.itemFactors,
         USER_ID,
-        rank=model.rank,
     )
 
 
@@ -244,9 +237,7 @@ def _als_recommend_all_unseen(spark, folder) -> DataFrame:
 
 def _als_similar_items(spark, folder) -> DataFrame:
     model, _ = _trained(spark, folder)
-    return similar.similar_items(
-        model.itemFactors, tables.catalog(spark, folder), MOVIE_ID, rank=model.rank
-    )
+    return similar.similar_items(model.itemFactors, tables.catalog(spark, folder), MOVIE_ID)
 
 
 def _als_tune(spark, folder) -> DataFrame:
@@ -497,5 +488,5 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT "movieId", CAST({CLEANING.rank} AS INT) AS rank
             FROM split_ratings WHERE split = 'train' """,
         "als_predict": f"""{_ALS}
-            SELECT "userId", "movieId", rating, true AS is_inner_product FROM known_test""",
+            SELECT "userId", "movieId", rating, true AS as_mllib FROM known_test""",
     }

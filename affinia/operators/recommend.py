@@ -1,24 +1,21 @@
 """Top-n recommendations."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia import schemas as S
-from affinia.functions.vectors import dot
-from affinia.operators.candidates import unseen_items
+from affinia.functions.vectors import dot, norm
+from affinia.operators.candidates import user_history
 from affinia.operators.grid import top_n
 from affinia.operators.lookup import in_catalog, with_titles, with_titles_of_few
 from affinia.operators.ranking import best
 from affinia.settings import TOP_N
 
 
-def vector_of(factors: DataFrame, key: int, measure: Callable[[Column], Column] | None = None):
-    """The vector of one id, or a measure of it, as a constant; null for an unknown id."""
-    vector = F.col(S.FEATURES)
-    value = measure(vector) if measure else vector
-    return factors.filter(F.col(S.ID) == key).agg(F.max(value)).scalar()
+def vector_of(factors: DataFrame, key: int) -> Column:
+    """Vector and length of one id as a constant; null for an unknown id."""
+    found = F.struct(F.col(S.FEATURES).alias("vector"), norm(F.col(S.FEATURES)).alias("length"))
+    return factors.filter(F.col(S.ID) == key).agg(F.max(found)).scalar()
 
 
 def top_n_for_user(
@@ -28,24 +25,20 @@ def top_n_for_user(
     item_factors: DataFrame,
     user_id: int,
     n: int = TOP_N,
-    rank: int | None = None,
 ) -> DataFrame:
     """The n best catalogue items that one user has not rated, best first.
 
     An unknown user gives no rows.
     """
-    unseen = unseen_items(ratings, catalog, user_id)
-    vectors = item_factors.withColumnRenamed(S.ID, S.ITEM)
-    scored = (
-        unseen.join(vectors, S.ITEM)
-        .withColumn("user_vector", vector_of(user_factors, user_id))
-        .select(S.USER, S.ITEM, dot(F.col("user_vector"), F.col(S.FEATURES), rank).alias(S.PREDICTION))
-        .na.drop(subset=[S.PREDICTION])
-    )
+    items = in_catalog(item_factors, catalog).withColumnRenamed(S.ID, S.ITEM)
+    unseen = items.join(user_history(ratings, user_id), S.ITEM, "left_anti")
+    user = unseen.withColumn("user", vector_of(user_factors, user_id))
+    score = dot(F.col("user.vector"), F.col(S.FEATURES)).alias(S.PREDICTION)
     return (
-        with_titles_of_few(best(scored, S.PREDICTION, n), catalog)
+        with_titles_of_few(best(user.select(S.ITEM, score), S.PREDICTION, n), catalog)
         .select(S.RANK, S.ITEM, S.TITLE, S.GENRES, S.PREDICTION)
         .orderBy(S.RANK)
+        .limit(n)
     )
 
 

@@ -13,11 +13,7 @@ from affinia.settings import TOP_N
 
 
 def similar_items(
-    item_factors: DataFrame,
-    catalog: DataFrame,
-    movie_id: int,
-    n: int = TOP_N,
-    rank: int | None = None,
+    item_factors: DataFrame, catalog: DataFrame, movie_id: int, n: int = TOP_N
 ) -> DataFrame:
     """The n catalogue items most similar to one item, without the item itself.
 
@@ -25,24 +21,24 @@ def similar_items(
     """
     others = in_catalog(item_factors.filter(F.col(S.ID) != movie_id), catalog)
     target = vector_of(item_factors, movie_id)
-    parts = others.withColumn("target", target).select(
-        F.col(S.ID).alias(S.ITEM),
-        dot(F.col(S.FEATURES), F.col("target"), rank).alias("product"),
-        norm(F.col(S.FEATURES)).alias("length"),
-    )
-    target_length = vector_of(item_factors, movie_id, norm)
     scored = (
-        parts.withColumn("target_length", target_length)
+        others.withColumn("target", target)
+        .select(
+            F.col(S.ID).alias(S.ITEM),
+            dot(F.col(S.FEATURES), F.col("target.vector")).alias("product"),
+            norm(F.col(S.FEATURES)).alias("length"),
+            F.col("target.length").alias("target_length"),
+        )
         .select(
             S.ITEM,
             cosine_from(F.col("product"), F.col("target_length"), F.col("length")).alias(S.SIMILARITY),
         )
-        .na.drop(subset=[S.SIMILARITY])
     )
     return (
         with_titles_of_few(best(scored, S.SIMILARITY, n), catalog)
         .select(S.RANK, S.ITEM, S.TITLE, S.GENRES, S.SIMILARITY)
         .orderBy(S.RANK)
+        .limit(n)
     )
 
 

@@ -72,15 +72,13 @@ def recommend(
 ) -> DataFrame:
     """Recommendations for one user from the stored model."""
     model = load_model(model_path(base))
-    return top_n_for_user(
-        ratings, catalog, model.userFactors, model.itemFactors, user_id, n, model.rank
-    )
+    return top_n_for_user(ratings, catalog, model.userFactors, model.itemFactors, user_id, n)
 
 
 def similar(catalog: DataFrame, base: str, movie_id: int, n: int = TOP_N) -> DataFrame:
     """Items similar to one item from the stored model."""
     model = load_model(model_path(base))
-    return similar_items(model.itemFactors, catalog, movie_id, n, model.rank)
+    return similar_items(model.itemFactors, catalog, movie_id, n)
 
 
 def recommend_everyone(
