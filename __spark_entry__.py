@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia import schemas as S
-from affinia.operators import activity, cleaning, factorize, lookup, metrics, recommend, similar
-from affinia.operators import candidates, scoring, splitting
-from affinia.plans import batch, payloads
-from affinia.settings import Preset
-from affinia.sources import landing, models
-from affinia.sources import order_tables as tables
-from affinia.sources.workspace import new_folder, written
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from affinia import schemas as S  # noqa: E402
+from affinia.operators import activity, candidates, cleaning, factorize, lookup  # noqa: E402
+from affinia.operators import metrics, recommend, scoring, similar, splitting  # noqa: E402
+from affinia.plans import batch, payloads  # noqa: E402
+from affinia.settings import Preset  # noqa: E402
+from affinia.sources import landing, models  # noqa: E402
+from affinia.sources import order_tables as tables  # noqa: E402
+from affinia.sources.workspace import new_folder, written  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 USER_ID = 7

@@ -2,15 +2,26 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affinia import schemas as S
 from affinia.operators.activity import item_popularity, user_activity
 from affinia.settings import ENGINE_DEFAULTS, Preset
+from affinia.sources.workspace import written
 
 
 def drop_nulls(ratings: DataFrame) -> DataFrame:
-    """Keep rows in which every column has a value."""
-    return ratings.na.drop()
+    """Keep rows in which every column has a value, and a number where it is a float.
+
+    The conditions are written out: they reach the file scan that way, and
+    every branch of a plan filters alike, so the branches can share a shuffle.
+    """
+    for field in ratings.schema:
+        column = F.col(field.name)
+        ratings = ratings.filter(column.isNotNull())
+        if isinstance(field.dataType, T.FractionalType):
+            ratings = ratings.filter(~F.isnan(column.cast("double")))
+    return ratings
 
 
 def latest_ratings(ratings: DataFrame) -> DataFrame:
@@ -45,16 +56,22 @@ def keep_popular_items(ratings: DataFrame, minimum: int) -> DataFrame:
     return ratings.join(popular_items(ratings, minimum), S.ITEM, "left_semi")
 
 
-def clean(ratings: DataFrame, preset: Preset = ENGINE_DEFAULTS) -> DataFrame:
+def clean(
+    ratings: DataFrame, preset: Preset = ENGINE_DEFAULTS, staged: bool = False
+) -> DataFrame:
     """Complete, latest ratings of active users for popular items.
 
     Nulls go first, so an incomplete copy never hides a complete one. Items
     are counted after inactive users are gone, and each threshold is applied
     once.
+
+    Each threshold reads the ratings twice, to count and to filter. ``staged``
+    writes the table before each threshold, so that no step runs twice.
     """
+    keep = written if staged else lambda table, label: table
     kept = latest_ratings(drop_nulls(ratings))
     if preset.min_user_ratings > 1:
-        kept = keep_active_users(kept, preset.min_user_ratings)
+        kept = keep_active_users(keep(kept, "latest"), preset.min_user_ratings)
     if preset.min_item_ratings > 1:
-        kept = keep_popular_items(kept, preset.min_item_ratings)
+        kept = keep_popular_items(keep(kept, "active"), preset.min_item_ratings)
     return kept.select(S.USER, S.ITEM, S.RATING, S.TIMESTAMP)

@@ -53,7 +53,7 @@ def train(
     files: fit, evaluation and answers each start from stored tables.
     """
     spark = ratings.sparkSession
-    split = write_processed(with_split(clean(ratings, preset)), base)
+    split = write_processed(with_split(clean(ratings, preset, staged=True)), base)
     params = {
         "rank": preset.rank,
         "max_iter": preset.max_iter,

@@ -180,6 +180,24 @@ def test_search_of_a_slice(seed, count, n, dims, cosine):
     assert got == expected
 
 
+@pytest.mark.parametrize("size", [1e-30, 1e30])
+def test_very_long_and_very_short_vectors(factors_of, size):
+    users = [(i, [size * x for x in v]) for i, v in random_factors(8, 20, 4)]
+    items = [(i, [size * x for x in v]) for i, v in random_factors(9, 40, 4)]
+    users, items = ([(i, np.float32(v).tolist()) for i, v in side] for side in (users, items))
+    for cosine in (False, True):
+        found = grid.top_n(factors_of(users), factors_of(items), 5, cosine=cosine)
+        got = sorted((r["left"], r["right"], r["rank"]) for r in found.collect())
+        assert got == [(u, i, rank) for u, i, _, rank in brute_force_order(users, items, 5, cosine)]
+
+
+def brute_force_order(users, items, n, cosine):
+    """Like ``brute_force``, with scores too small to survive its rounding."""
+    unit = max(abs(x) for _, v in users + items for x in v)
+    small = [[(i, [x / unit for x in v]) for i, v in side] for side in (users, items)]
+    return brute_force(*small, n, cosine=cosine)
+
+
 def test_grid_rejects_mixed_lengths(factors_of):
     with pytest.raises(ValueError, match="dimensions"):
         grid.top_n(factors_of([(1, [1.0])]), factors_of([(1, [1.0, 2.0])]), 3)
