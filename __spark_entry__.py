@@ -6,6 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from affinia import schemas as S  # noqa: E402
 from affinia.operators import activity, candidates, cleaning, factorize, lookup  # noqa: E402
 from affinia.operators import metrics, recommend, scoring, similar, splitting  # noqa: E402
 from affinia.plans import batch, payloads  # noqa: E402
-from affinia.settings import Preset  # noqa: E402
+from affinia.settings import TOP_N, Preset  # noqa: E402
 from affinia.sources import landing, models  # noqa: E402
 from affinia.sources import order_tables as tables  # noqa: E402
 from affinia.sources.workspace import new_folder, written  # noqa: E402
@@ -211,6 +212,29 @@ def _als_evaluate(spark, folder) -> DataFrame:
     return factorize.evaluate(model, splitting.side(split, S.TEST))
 
 
+def _als_evaluate_as_mllib(spark, folder) -> DataFrame:
+    """Whether the errors are those of MLlib's scoring and evaluator."""
+    model, split = _trained(spark, folder)
+    test = splitting.side(split, S.TEST)
+    evaluator = RegressionEvaluator(labelCol=S.RATING, predictionCol=S.PREDICTION)
+    theirs = model.transform(test)
+    rmse, mae = (evaluator.setMetricName(name).evaluate(theirs) for name in ("rmse", "mae"))
+    same = (F.abs(F.col("rmse") - rmse) < 1e-6) & (F.abs(F.col("mae") - mae) < 1e-6)
+    return factorize.evaluate(model, test).select("n_scored", "n_total", same.alias("as_mllib"))
+
+
+def _als_recommend_all_as_mllib(spark, folder) -> DataFrame:
+    """Whether the scores at every rank are those of MLlib's own search."""
+    model, _ = _trained(spark, folder)
+    theirs = model.recommendForAllUsers(TOP_N).select(S.USER, F.posexplode("recommendations"))
+    theirs = theirs.select(S.USER, (F.col("pos") + 1).alias(S.RANK), "col.rating")
+    both = _als_recommend_all(spark, folder).join(theirs, [S.USER, S.RANK], "full")
+    same = F.abs(F.col("predicted_rating") - F.col("rating")) < 1e-4
+    return both.groupBy(S.USER).agg(
+        F.count("*").alias("n"), F.every(F.coalesce(same, F.lit(False))).alias("as_mllib")
+    )
+
+
 def _als_top_n_for_user(spark, folder) -> DataFrame:
     model, _ = _trained(spark, folder)
     return recommend.top_n_for_user(
@@ -306,8 +330,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "als_item_factors": _als_item_factors,
         "als_predict": _als_predict,
         "als_evaluate": _als_evaluate,
+        "als_evaluate_as_mllib": _als_evaluate_as_mllib,
         "als_top_n_for_user": _als_top_n_for_user,
         "als_recommend_all": _als_recommend_all,
+        "als_recommend_all_as_mllib": _als_recommend_all_as_mllib,
         "als_recommend_all_unseen": _als_recommend_all_unseen,
         "als_similar_items": _als_similar_items,
         "als_tune": _als_tune,
@@ -493,4 +519,12 @@ def oracle_sql() -> dict[str, str]:
             FROM split_ratings WHERE split = 'train' """,
         "als_predict": f"""{_ALS}
             SELECT "userId", "movieId", rating, true AS as_mllib FROM known_test""",
+        "als_evaluate_as_mllib": f"""{_ALS}
+            SELECT (SELECT count(*) FROM known_test) AS n_scored, count(*) AS n_total,
+                   true AS as_mllib FROM split_ratings WHERE split = 'test' """,
+        "als_recommend_all_as_mllib": f"""{_ALS},
+            trained_items AS (SELECT DISTINCT "movieId" FROM split_ratings WHERE split = 'train')
+            SELECT "userId", (SELECT least({TOP_N}, count(*)) FROM trained_items) AS n,
+                   true AS as_mllib
+            FROM split_ratings WHERE split = 'train' GROUP BY 1""",
     }
