@@ -137,19 +137,29 @@ def test_grid_against_brute_force(spark, ratings_of, factors_of, slice_bytes, co
     assert rounded(free) == brute_force(users, items, 7, cosine=cosine)
 
 
-def test_grid_with_small_arrow_batches(spark, ratings_of, factors_of):
-    """Seen items and their user fall into different batches."""
+@pytest.mark.parametrize(("records", "chunk", "most_seen"), [(7, 512, 10**6), (7, 8, 10**6), (10, 5, 3), (1000, 20, 1)])
+def test_grid_with_small_batches(spark, monkeypatch, ratings_of, factors_of, records, chunk, most_seen):
+    """Seen items and their user fall into different batches and chunks.
+
+    Users 40 to 79 have seen items but no factors; lists are cut at every
+    fourth item id.
+    """
+    monkeypatch.setattr(nearest, "CHUNK", chunk)
+    monkeypatch.setattr(nearest, "_MOST_SEEN", most_seen)
+    monkeypatch.setattr(grid, "_SEEN_RANGE_BITS", 2)
     users, items = random_factors(4, 40, 3), random_factors(5, 60, 3)
-    pairs = {(u, i) for u in range(0, 40, 3) for i in range(0, 60, 2)}
-    seen = ratings_of([(u, i, 1.0, 1) for u, i in pairs])
+    pairs = {(u, i) for u in range(0, 80, 3) for i in range(0, 60, 2)}
+    seen = ratings_of([(u, i, 1.0, 1) for u, i in pairs] + [(None, 3, 1.0, 1), (3, None, 1.0, 1)])
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
-    spark.conf.set(key, 7)
+    spark.conf.set(key, records)
     try:
         found = rounded(grid.top_n(factors_of(users), factors_of(items), 4, seen))
+        free = rounded(grid.top_n(factors_of(users), factors_of(items), 4))
     finally:
         spark.conf.set(key, before)
     assert found == brute_force(users, items, 4, pairs)
+    assert free == brute_force(users, items, 4)
 
 
 @settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
