@@ -37,13 +37,13 @@ def with_titles_of_few(ranked: DataFrame, catalog: DataFrame) -> DataFrame:
 def catalog_lookup(catalog: DataFrame, wanted: DataFrame | int) -> DataFrame:
     """Title and genre list of one item, or of every item in a table of ids.
 
-    An item that is not in the catalogue gives no row.
+    An item gives one row, or none if it is not in the catalogue.
     """
     if isinstance(wanted, DataFrame):
         rows = catalog.join(wanted.select(S.ITEM), S.ITEM, "left_semi")
     else:
         rows = catalog.filter(F.col(S.ITEM) == wanted)
-    return rows.select(
+    return one_row_per_item(rows).select(
         F.col(S.ITEM).alias("movie_id"), S.TITLE, genre_list(F.col(S.GENRES)).alias(S.GENRES)
     )
 

@@ -234,6 +234,7 @@ def test_score_pairs(spark, factors_of):
 def test_lookup(spark, catalog_of):
     catalog = catalog_of(CATALOG)
     assert [tuple(r) for r in lookup.catalog_lookup(catalog, 10).collect()] == [(10, "ten", ["A", "B"])]
+    assert lookup.catalog_lookup(catalog.union(catalog), 10).count() == 1
     assert lookup.catalog_lookup(catalog, 99).count() == 0
     wanted = spark.createDataFrame([(12,), (12,), (99,)], "movieId int")
     assert [tuple(r) for r in lookup.catalog_lookup(catalog, wanted).collect()] == [(12, "twelve", [])]
