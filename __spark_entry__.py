@@ -271,7 +271,7 @@ def _als_similar_items(spark, folder) -> DataFrame:
 def _als_tune(spark, folder) -> DataFrame:
     _, split = _trained(spark, folder)
     train = splitting.side(split, S.TRAIN)
-    return factorize.tune(train, (4, 8), (0.1, 1.0), (3,), parallelism=2).grid
+    return factorize.tune(train, (4, 8), (0.1, 1.0), (3,)).grid
 
 
 def _model_roundtrip(spark, folder) -> DataFrame:
