@@ -1,5 +1,7 @@
 """Cleaning of ratings."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,7 +9,6 @@ from pyspark.sql import types as T
 from affinia import schemas as S
 from affinia.operators.activity import item_popularity, user_activity
 from affinia.settings import ENGINE_DEFAULTS, Preset
-from affinia.sources.workspace import written
 
 
 def drop_nulls(ratings: DataFrame) -> DataFrame:
@@ -57,7 +58,9 @@ def keep_popular_items(ratings: DataFrame, minimum: int) -> DataFrame:
 
 
 def clean(
-    ratings: DataFrame, preset: Preset = ENGINE_DEFAULTS, staged: bool = False
+    ratings: DataFrame,
+    preset: Preset = ENGINE_DEFAULTS,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Complete, latest ratings of active users for popular items.
 
@@ -65,13 +68,15 @@ def clean(
     are counted after inactive users are gone, and each threshold is applied
     once.
 
-    Each threshold reads the ratings twice, to count and to filter. ``staged``
-    writes the table before each threshold, so that no step runs twice.
+    Each threshold reads the ratings twice, to count and to filter. With
+    ``store``, for which see ``workspace.staging``, the table is written before
+    each threshold, so that no step runs twice.
     """
-    keep = written if staged else lambda table, label: table
     kept = latest_ratings(drop_nulls(ratings))
     if preset.min_user_ratings > 1:
-        kept = keep_active_users(keep(kept, "latest"), preset.min_user_ratings)
+        kept = store(kept, "latest") if store else kept
+        kept = keep_active_users(kept, preset.min_user_ratings)
     if preset.min_item_ratings > 1:
-        kept = keep_popular_items(keep(kept, "active"), preset.min_item_ratings)
+        kept = store(kept, "active") if store else kept
+        kept = keep_popular_items(kept, preset.min_item_ratings)
     return kept.select(S.USER, S.ITEM, S.RATING, S.TIMESTAMP)

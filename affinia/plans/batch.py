@@ -14,6 +14,7 @@ from affinia.operators.splitting import side, with_split
 from affinia.settings import SEED, SMALL_DEFAULTS, TOP_N, Preset
 from affinia.sources.landing import land_raw, landed_catalog, landed_ratings, write_processed
 from affinia.sources.models import load_model, model_path, save_model, write_recommendations
+from affinia.sources.workspace import staging
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,8 @@ def train(
     files: fit, evaluation and answers each start from stored tables.
     """
     spark = ratings.sparkSession
-    split = write_processed(with_split(clean(ratings, preset, staged=True)), base)
+    with staging(spark) as store:
+        split = write_processed(with_split(clean(ratings, preset, store)), base)
     params = {
         "rank": preset.rank,
         "max_iter": preset.max_iter,

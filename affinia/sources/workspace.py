@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,14 +48,35 @@ def written(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Da
     Later steps then start from files: they do not repeat the work before the
     write, and a lost executor does not cause it to be repeated either.
     """
-    spark = df.sparkSession
-    path = new_folder(spark, label)
+    return _written_to(df, new_folder(df.sparkSession, label), partition_by)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function like ``written`` whose tables are deleted at the end.
+
+    Whatever reads them has to be stored before that.
+    """
+    folder = new_folder(spark, "staging")
+    try:
+        yield lambda df, label: _written_to(df, f"{folder}/{label}")
+    finally:
+        path, files = _hadoop(spark, folder)
+        files.delete(path, True)
+
+
+def _written_to(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path, and the file system it is on."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on any file system Spark can reach."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+    hadoop_path, files = _hadoop(spark, path)
+    return files.exists(hadoop_path)

@@ -99,3 +99,12 @@ def test_written_tables_are_in_the_shared_folder(spark, ratings_of):
     stored = workspace.written(ratings_of([(1, 2, 3.0, 4)]), "some")
     assert tuples(stored) == [(1, 2, 3.0, 4)]
     assert spark.conf.get("spark.checkpoint.dir") in stored.inputFiles()[0]
+
+
+def test_staged_tables_are_deleted(spark, ratings_of):
+    with workspace.staging(spark) as store:
+        stored = store(ratings_of([(1, 2, 3.0, 4)]), "some")
+        path = stored.inputFiles()[0]
+        assert tuples(stored) == [(1, 2, 3.0, 4)]
+        assert workspace.exists(spark, path)
+    assert not workspace.exists(spark, path)
