@@ -1,6 +1,6 @@
 """Answers in the shape that a service returns."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,11 +14,19 @@ def _with_count(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("count", F.count("*").over(W.partitionBy(key)))
 
 
-def _nested(rows: DataFrame, key: str, name: str, fields: list[str]) -> DataFrame:
-    entries = F.sort_array(F.collect_list(F.struct(S.RANK, *fields)))
+def _entries(fields: list[str]) -> Column:
+    """The rows of one answer as a list, best first."""
+    return F.sort_array(F.collect_list(F.struct(S.RANK, *fields)))
+
+
+def _answer(lists: DataFrame, name: str, fields: list[str]) -> DataFrame:
+    """Drop the ranks from the list called ``name``, and count its entries."""
     plain = F.transform(F.col(name), lambda e: F.struct(*[e[f].alias(f) for f in fields]))
-    nested = rows.groupBy(key).agg(entries.alias(name)).withColumn(name, plain)
-    return nested.withColumn("count", F.size(name))
+    return lists.withColumn(name, plain).withColumn("count", F.size(name))
+
+
+_RECOMMENDED = ["movie_id", S.TITLE, S.GENRES, "predicted_rating"]
+_SIMILAR = ["movie_id", S.TITLE, S.GENRES, "similarity"]
 
 
 def recommend_payload(recommendations: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -42,8 +50,9 @@ def recommend_answers(
 
     With a table of ``users`` who ask, those without any item get an empty list.
     """
-    fields = ["movie_id", S.TITLE, S.GENRES, "predicted_rating"]
-    answers = _nested(recommend_payload(recommendations, n), "user_id", "recommendations", fields)
+    rows = recommend_payload(recommendations, n)
+    lists = rows.groupBy("user_id").agg(_entries(_RECOMMENDED).alias("recommendations"))
+    answers = _answer(lists, "recommendations", _RECOMMENDED)
     if users is None:
         return answers
     asked = users.select(F.col(S.USER).alias("user_id")).distinct()
@@ -55,6 +64,14 @@ def recommend_answers(
     )
 
 
+def recommend_answer(recommendations: DataFrame, user_id: int, n: int = TOP_N) -> DataFrame:
+    """The answer for one user, from that user's ranked items; the list may be empty."""
+    rows = recommend_payload(recommendations.withColumn(S.USER, F.lit(user_id).cast("int")), n)
+    lists = rows.agg(_entries(_RECOMMENDED).alias("recommendations"))
+    answer = lists.select(F.lit(user_id).cast("int").alias("user_id"), "recommendations")
+    return _answer(answer, "recommendations", _RECOMMENDED)
+
+
 def similar_payload(similar: DataFrame, n: int = TOP_N) -> DataFrame:
     """Rows of the answer for each target in a table of ranked similar items."""
     rows = similar.filter(F.col(S.RANK) <= clamp_top_n(n)).select(
@@ -70,9 +87,17 @@ def similar_payload(similar: DataFrame, n: int = TOP_N) -> DataFrame:
 
 def similar_answers(similar: DataFrame, n: int = TOP_N) -> DataFrame:
     """One answer for each item: a list of similar items, and its length."""
-    fields = ["movie_id", S.TITLE, S.GENRES, "similarity"]
-    nested = _nested(similar_payload(similar, n), "target_id", "similar_movies", fields)
-    return nested.withColumnRenamed("target_id", "movie_id")
+    rows = similar_payload(similar, n)
+    lists = rows.groupBy("target_id").agg(_entries(_SIMILAR).alias("similar_movies"))
+    return _answer(lists, "similar_movies", _SIMILAR).withColumnRenamed("target_id", "movie_id")
+
+
+def similar_answer(similar: DataFrame, movie_id: int, n: int = TOP_N) -> DataFrame:
+    """The answer for one item, from its ranked similar items; no row if there are none."""
+    rows = similar_payload(similar.withColumn("target_id", F.lit(movie_id).cast("int")), n)
+    lists = rows.agg(_entries(_SIMILAR).alias("similar_movies"))
+    answer = lists.select(F.lit(movie_id).cast("int").alias("movie_id"), "similar_movies")
+    return _answer(answer, "similar_movies", _SIMILAR).filter(F.col("count") > 0)
 
 
 def stats_answer(stats: DataFrame) -> DataFrame:

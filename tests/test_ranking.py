@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from affinia import schemas as S
-from affinia.operators import candidates, grid, lookup, nearest, recommend, scoring, similar
+from affinia.operators import activity, candidates, grid, lookup, nearest, recommend, scoring, similar
 from affinia.plans import payloads
 from tests.conftest import tuples
 
@@ -256,6 +256,33 @@ def test_payloads(spark, small):
     assert (answers[99]["count"], answers[99]["recommendations"]) == (0, [])
 
 
+def test_answers_for_one(small, factors_of, catalog_of):
+    ratings, catalog, users, items = small
+    top = recommend.top_n_for_user(ratings, catalog, users, items, 1, 50)
+    answer = payloads.recommend_answer(top, 1, 0).collect()
+    assert [(r["user_id"], r["count"]) for r in answer] == [(1, 1)]
+    assert answer[0]["recommendations"][0].asDict() == {
+        "movie_id": 11, "title": "eleven", "genres": "A", "predicted_rating": 2.0
+    }
+    nobody = recommend.top_n_for_user(ratings, catalog, users, items, 99)
+    assert [tuple(r) for r in payloads.recommend_answer(nobody, 99).collect()] == [(99, [], 0)]
+
+    catalog = catalog_of([(i, f"t{i}", "g") for i, _ in VECTORS])
+    near = similar.similar_items(factors_of(VECTORS), catalog, 1)
+    answer = payloads.similar_answer(near, 1, 2).first()
+    assert (answer["movie_id"], answer["count"]) == (1, 2)
+    assert [tuple(e) for e in answer["similar_movies"]] == [(2, "t2", "g", 1.0), (6, "t6", "g", 0.7071)]
+    unknown = similar.similar_items(factors_of(VECTORS), catalog, 99)
+    assert payloads.similar_answer(unknown, 99).count() == 0
+
+
+def test_stats_answer(ratings_of, catalog_of):
+    stats = activity.service_stats(ratings_of(RATED), catalog_of(CATALOG), 20)
+    answer = payloads.stats_answer(stats).first().asDict(recursive=True)
+    assert answer["dataset"] == {"ratings": 1, "users": 1, "movies": 3}
+    assert answer["model"]["rank"] == 20
+
+
 def test_similar_answers(factors_of, catalog_of):
     catalog = catalog_of([(i, f"t{i}", "g") for i, _ in VECTORS])
     found = similar.similar_items_all(factors_of(VECTORS), catalog)
