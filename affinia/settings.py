@@ -1,6 +1,7 @@
 """Named parameter sets and limits."""
 
 from dataclasses import dataclass
+from math import ceil
 
 
 @dataclass(frozen=True)
@@ -37,3 +38,23 @@ FRAMEWORK = "Apache Spark MLlib"
 def clamp_top_n(n: int = TOP_N) -> int:
     """Bring a requested answer length into the range that answers allow."""
     return max(1, min(n, TOP_N_MAX))
+
+
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 100_000
+
+
+def session_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Spark settings for a session that works on so much data.
+
+    Cleaning shuffles all of its input. Spark can join small shuffle
+    partitions to larger ones while it runs, but splits a large one only where
+    a join is skewed, so their number has to suit the input.
+    """
+    partitions = min(ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(max(cores, partitions)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

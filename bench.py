@@ -10,13 +10,14 @@ import json
 import os
 import sys
 import time
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from affinia.operators import activity, cleaning, factorize, recommend, similar, splitting  # noqa: E402
-from affinia.settings import ENGINE_DEFAULTS, SMALL_DEFAULTS  # noqa: E402
+from affinia.settings import ENGINE_DEFAULTS, SMALL_DEFAULTS, session_conf  # noqa: E402
 from affinia.sources import models  # noqa: E402
 from affinia.sources import order_tables as tables  # noqa: E402
 from affinia.sources.workspace import new_folder, written  # noqa: E402
@@ -28,14 +29,15 @@ RANK, MAX_ITER, REG_PARAM = SMALL_DEFAULTS.rank, SMALL_DEFAULTS.max_iter, SMALL_
 
 
 def session() -> SparkSession:
+    input_bytes = sum(f.stat().st_size for f in Path(FOLDER).glob("*.parquet"))
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("affinia-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=session_conf(input_bytes, int(CPUS)))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from affinia import schemas as S
 from affinia.operators.splitting import with_split
+from affinia.settings import session_conf
 from affinia.sources import csv_files, landing, tables, workspace
 from tests.conftest import tuples
 
@@ -108,3 +109,30 @@ def test_staged_tables_are_deleted(spark, ratings_of):
         assert tuples(stored) == [(1, 2, 3.0, 4)]
         assert workspace.exists(spark, path)
     assert not workspace.exists(spark, path)
+
+
+class _Cluster:
+    """A session on a cluster, with or without a shared folder."""
+
+    def __init__(self, folder):
+        self.folder = folder
+        self.conf = self.sparkContext = self
+        self.master = "spark://host:7077"
+
+    def get(self, key, default):
+        return self.folder if key == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert workspace.new_folder(_Cluster("hdfs://name/shared/"), "x").startswith("hdfs://name/shared/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(_Cluster(None))
+
+
+def test_shuffle_partitions_suit_the_input():
+    assert session_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "8"
+    assert session_conf(10**12, 8)["spark.sql.shuffle.partitions"] == "7451"
+    assert session_conf(10**14, 8)["spark.sql.shuffle.partitions"] == "100000"
