@@ -137,6 +137,17 @@ def test_grid_against_brute_force(spark, ratings_of, factors_of, slice_bytes, co
     assert rounded(free) == brute_force(users, items, 7, cosine=cosine)
 
 
+def test_ids_of_different_types_meet(spark, factors_of):
+    users, items = random_factors(6, 30, 3), random_factors(7, 30, 3)
+    pairs = {(u, i) for u in range(30) for i in range(0, 30, 2)}
+    wide = "id bigint, features array<float>"
+    seen = spark.createDataFrame(list(pairs), "userId int, movieId bigint")
+    found = grid.top_n(
+        spark.createDataFrame(users, wide), factors_of(items), 4, seen, slice_bytes=10 * 4 * 3
+    )
+    assert rounded(found) == brute_force(users, items, 4, pairs)
+
+
 @pytest.mark.parametrize(("records", "chunk", "most_seen"), [(7, 512, 10**6), (7, 8, 10**6), (10, 5, 3), (1000, 20, 1)])
 def test_grid_with_small_batches(spark, monkeypatch, ratings_of, factors_of, records, chunk, most_seen):
     """Seen items and their user fall into different batches and chunks.
