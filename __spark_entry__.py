@@ -22,6 +22,14 @@ from affinia.sources import landing, models  # noqa: E402
 from affinia.sources import order_tables as tables  # noqa: E402
 from affinia.sources.workspace import new_folder, written  # noqa: E402
 
+try:  # text operators and their pipeline: an optional part of this repository
+    import corpus_pipeline
+    from affinia.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "affinia.llm"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 USER_ID = 7
 MOVIE_ID = 1
@@ -337,6 +345,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "als_recommend_all_unseen": _als_recommend_all_unseen,
         "als_similar_items": _als_similar_items,
         "als_tune": _als_tune,
+        **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
@@ -527,4 +536,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT "userId", (SELECT least({TOP_N}, count(*)) FROM trained_items) AS n,
                    true AS as_mllib
             FROM split_ratings WHERE split = 'train' GROUP BY 1""",
+        **(llm.ORACLES if llm else {}),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if llm and corpus_pipeline.ORACLE_SQL else {}),
     }
