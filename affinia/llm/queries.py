@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from affinia.llm import neardup
+from affinia.llm import decontam, neardup, suffixdup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,8 +20,70 @@ def op3_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_documents(spark, folder))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.toxicity(_documents(spark, folder), _table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.decontamination(
+        _documents(spark, folder), _table(spark, folder, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixdup.without_repeats(_documents(spark, folder)).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_neardup": op3_minhash_neardup,
+    "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
+    "op8_suffix_dedup": op8_suffix_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+# Words of texts by position; windows of each length that occurs; words covered by a match.
+_OP5 = rf"""
+WITH lowered AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+doc_words AS (SELECT doc_id, regexp_extract_all(text, '{_WORD}') AS w FROM lowered),
+item_words AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size,
+           array_to_string(w[i + 1 : i + least(len(w), 10)], ' ') AS words
+    FROM (SELECT item_id, w, unnest(range(len(w) - least(len(w), 10) + 1)) AS i
+          FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT doc_id, i, size, array_to_string(w[i + 1 : i + size], ' ') AS words
+    FROM (SELECT doc_id, w, size, unnest(range(greatest(len(w) - size + 1, 0))) AS i
+          FROM doc_words, sizes)),
+hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, words)),
+covered AS (
+    SELECT doc_id, count(DISTINCT word) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + size)) AS word FROM hits) GROUP BY 1),
+found AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(f.n, 0) AS BIGINT) AS n_items, sha256(coalesce(f.items, '')) AS items_sha256,
+       coalesce(c.n, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_decontamination": _OP5,
+}
