@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import decontam, neardup, suffixdup, toxicity
+from affinia.llm import decontam, mixing, neardup, suffixdup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.mix(_documents(spark, folder))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixdup.without_repeats(_documents(spark, folder)).drop("spans")
 
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op6_source_mix": op6_source_mix,
     "op8_suffix_dedup": op8_suffix_dedup,
 }
 
@@ -84,6 +90,54 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIG
 FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
 
+# The threshold over hashes in order; the share of each source as the level of water.
+_OP6 = r"""
+WITH sizes AS (
+    SELECT doc_id, source,
+           CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+           ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 15))::BIGINT
+               AS hash
+    FROM documents),
+sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY 1),
+weighed AS (
+    SELECT *, CAST(list_extract([5, 2, 1],
+               (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1) AS DOUBLE) AS weight,
+           CAST(source_size * 2 AS DOUBLE) AS cap
+    FROM sums),
+levels AS (
+    SELECT *, cap / weight AS level,
+           CAST(sum(source_size) OVER () AS BIGINT) * 1.5::DOUBLE AS budget FROM weighed),
+filled AS (
+    SELECT *, sum(cap) OVER upto + level * (sum(weight) OVER () - sum(weight) OVER upto) <= budget
+              AS is_full
+    FROM levels
+    WINDOW upto AS (ORDER BY level, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+planned AS (
+    SELECT source, source_size,
+           CASE WHEN is_full THEN cap
+                ELSE (budget - sum(CASE WHEN is_full THEN cap ELSE 0.0::DOUBLE END) OVER ())
+                     / sum(CASE WHEN is_full THEN 0.0::DOUBLE ELSE weight END) OVER () * weight
+           END AS target
+    FROM filled),
+rests AS (
+    SELECT *, target - times * source_size AS rest FROM (
+        SELECT *, CASE WHEN source_size = 0 THEN 0
+                       ELSE CAST(floor(target / source_size) AS BIGINT) END AS times FROM planned)),
+steps AS (
+    SELECT source, hash, n, CAST(sum(n) OVER (PARTITION BY source ORDER BY hash) AS BIGINT) AS upto
+    FROM (SELECT source, hash, CAST(sum(size) AS BIGINT) AS n FROM sizes GROUP BY 1, 2)),
+edges AS (
+    SELECT r.source, min(hash) AS threshold, arg_min(n, hash) AS edge, arg_min(upto - n, hash) AS below
+    FROM steps s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source WHERE upto > rest GROUP BY 1)
+SELECT doc_id, size, source_size, target,
+       size * (times + CASE WHEN threshold IS NULL OR hash < threshold
+                                 OR (hash = threshold AND (rest - below) * 2 > edge)
+                            THEN 1 ELSE 0 END) AS taken
+FROM sizes s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source
+LEFT JOIN edges e ON s.source IS NOT DISTINCT FROM e.source
+"""
+
 ORACLES: dict[str, str] = {
     "op5_decontamination": _OP5,
+    "op6_source_mix": _OP6,
 }
