@@ -10,16 +10,15 @@ give the least values of their union. The steps:
 3. Each list is linked to its most typical member; overlaps are counted,
    the union sketch rules out unlikely pairs, full sets confirm the rest.
 4. What these links leave in different components of one list is
-   compared pair by pair in the same way. A list longer than ``LONG_LIST`` is
-   cut by runs of three neighbouring sketch values first, and only
-   documents made mostly of such values need it: all others meet
-   their partners in a short list.
+   compared pair by pair in the same way. Lists longer than ``LONG_LIST`` are
+   left out here. Only documents made mostly of such values need them, all
+   others meet their partners in a short list. Those documents meet
+   under the rarest shingles of their full sets instead: prefix and position
+   filters are exact, and leave few pairs of a large group of loose copies.
 
 At a similarity of 0.85 a shared value is missed, or a true pair ruled out by
 the estimate, with a probability below one in a million. No partner or
-candidate is capped. A list that stays long after step 3 holds documents that are
-made of the same common text and yet are not similar; its pairs are formed by a
-join on the cut list, which Spark splits over tasks.
+candidate is capped.
 
 Defined results: a null or empty text has no shingles and no links; repeated
 rows are links of one component; rows that share a doc_id but not the text
@@ -34,7 +33,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.llm.arrays import distinct_sorted, list_column, shingle_hashes, slices
@@ -155,22 +154,27 @@ def _active(classes: DataFrame, s: Fraction) -> tuple[DataFrame, DataFrame]:
     return active, written(entries.join(slim, "rep"), "active-entries")
 
 
-def _without_strangers(active: DataFrame, entries: DataFrame, sets: DataFrame, s: Fraction):
-    """Take documents out of long lists that cannot have a partner there.
+def _prefixes(active: DataFrame, sets: DataFrame, s: Fraction) -> DataFrame:
+    """Documents of common text under the rarest shingles of their full sets.
 
-    Only documents of common text can meet there. One with more
-    shingles that no other of them holds than the similarity allows has
-    no partner among them; the count is exact. Short lists keep everyone.
+    All order their shingles alike, by how many of them hold one. Similar documents
+    share a shingle among the first ``n - s * n + 1``, so this is exact.
+    A document that holds more shingles of its own than that has no partner here.
     """
     common = active.where("is_common").select("rep", "n_shingles")
-    held = sets.join(common, "rep").select("rep", F.explode("shingles").alias("x"))
-    once = held.groupBy("x").agg(F.min("rep").alias("rep"), F.count("*").alias("df"))
-    alone = once.where("df = 1").groupBy("rep").agg(F.count("*").alias("alone"))
-    common = common.join(alone, "rep", "left").where(
-        F.coalesce("alone", F.lit(0)) * s.denominator
-        <= F.col("n_shingles") * (s.denominator - s.numerator)
+    held = written(
+        sets.join(common, "rep").select("rep", "n_shingles", F.explode("shingles").alias("value")), "held"
     )
-    common = written(common.select("rep", F.lit(True).alias("meets")), "common")
+    counts = written(held.groupBy("value").agg(F.count("*").alias("df")), "holders")
+    rarest = Window.partitionBy("rep").orderBy("df", "value")
+    rows = held.join(counts, "value").withColumn("place", F.row_number().over(rarest))
+    first = F.floor(F.col("n_shingles") * (s.denominator - s.numerator) / s.denominator) + 1
+    return written(rows.where((F.col("place") <= first) & (F.col("df") > 1)), "prefixes")
+
+
+def _meeting(active: DataFrame, entries: DataFrame, prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keep in long lists only documents of common text that can have a partner there."""
+    common = written(prefixes.select("rep", F.lit(True).alias("meets")).distinct(), "common")
     marked = lambda df: df.join(common, "rep", "left").withColumn(
         "is_common", F.coalesce("meets", F.lit(False))
     )
@@ -204,24 +208,25 @@ def _overlaps(pairs: DataFrame) -> DataFrame:
 
 
 def _pairs_within(lists: DataFrame, s: Fraction) -> DataFrame:
-    """Pairs of one list whose members are not yet connected."""
+    """Pairs of one list whose members are not yet connected.
+
+    ``place`` is where a member has the list's value in its order. What follows it in both
+    bounds the overlap of a pair that meets there first.
+    """
     ends = lists.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     split = written(ends.where("lo < hi").select("value"), "split-lists")
     rows = written(lists.join(split, "value"), "split-entries")
-    x = rows.select("value", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    y = rows.select("value", F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-    found = x.join(y, "value").where("a < b AND c_a <> c_b").where(_alike("n_a", "n_b", s))
-    return found.select("a", "b")
-
-
-def _runs(active: DataFrame) -> DataFrame:
-    """Documents of common text under each run of three neighbouring sketch values."""
-    at = lambda i: F.get("sketch", i)
-    positions = F.sequence(F.lit(0), F.size("sketch") - 3)
-    rows = active.where("is_common").where(F.size("sketch") >= 3)
-    rows = rows.withColumn("i", F.explode(positions))
-    key = F.xxhash64(at(F.col("i")), at(F.col("i") + 1), at(F.col("i") + 2))
-    return rows.select(key.alias("value"), "rep", "n_shingles")
+    side = lambda name: rows.select(
+        "value",
+        F.col("rep").alias(name),
+        F.col("n_shingles").alias(f"n_{name}"),
+        F.col("place").alias(f"at_{name}"),
+        F.col("component").alias(f"c_{name}"),
+    )
+    left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) + 1
+    enough = left * (s.numerator + s.denominator) >= (F.col("n_a") + F.col("n_b")) * s.numerator
+    found = side("a").join(side("b"), "value").where("a < b AND c_a <> c_b")
+    return found.where(_alike("n_a", "n_b", s) & enough).select("a", "b")
 
 
 def links(docs: DataFrame, sketched: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
@@ -240,16 +245,18 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: Fraction = SIMILARIT
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep")
     sets = texts.mapInArrow(_sets, "rep long, shingles array<long>")
     sets = written(sets.dropDuplicates(["rep", "shingles"]), "sets")
-    active, entries = _without_strangers(active, entries, sets, similarity)
+    prefixes = _prefixes(active, sets, similarity)
+    active, entries = _meeting(active, entries, prefixes)
     active, entries = written(active, "active"), written(entries, "entries")
     first = written(_confirmed(_typical_links(entries, similarity), active, sets, similarity), "links")
     known = written(components(first), "components")
-    place = lambda df: df.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+    placed = lambda df: df.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
-    short = entries.where(F.col("df") <= LONG_LIST).select("value", "rep", "n_shingles")
-    rest = _pairs_within(place(short), similarity).unionByName(
-        _pairs_within(place(_runs(active)), similarity)
+    columns = ("value", "rep", "n_shingles", "place")
+    short = entries.where(F.col("df") <= LONG_LIST).withColumn("place", F.lit(0)).select(*columns)
+    rest = _pairs_within(placed(short), similarity).unionByName(
+        _pairs_within(placed(prefixes.select(*columns)), similarity)
     )
     second = _confirmed(_overlaps(rest), active, sets, similarity)
     return first.unionByName(second)
