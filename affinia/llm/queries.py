@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import decontam, mixing, neardup, suffixdup, toxicity
+from affinia.llm import decontam, mixing, neardup, pii, suffixdup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,12 +48,28 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixdup.without_repeats(_documents(spark, folder)).drop("spans")
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.findings(_documents(spark, folder))
+    base = F.filter("spans", lambda x: x["plain"])
+    count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ","
+    )
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_source_mix": op6_source_mix,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op10_pii": op10_pii,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
