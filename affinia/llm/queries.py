@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import decontam, mixing, neardup, pii, suffixdup, toxicity
+from affinia.llm import decontam, mixing, neardup, pii, simhash, suffixdup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.edited_fingerprints(_documents(spark, folder))
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixdup.without_repeats(_documents(spark, folder)).drop("spans")
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_source_mix": op6_source_mix,
+    "op7_simhash": op7_simhash,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op10_pii": op10_pii,
 }
