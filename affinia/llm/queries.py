@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import decontam, mixing, neardup, pii, simhash, suffixdup, toxicity
+from affinia.llm import decontam, language, mixing, neardup, pii, quality, simhash, suffixdup
+from affinia.llm import toxicity, urls
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +17,14 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "documents")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(_documents(spark, folder), _table(spark, folder, "labels"))
+
+
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language(_documents(spark, folder))
+
+
 def op3_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_documents(spark, folder))
 
@@ -52,6 +61,11 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixdup.without_repeats(_documents(spark, folder)).drop("spans")
 
 
+def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.verdicts(_table(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.findings(_documents(spark, folder))
     base = F.filter("spans", lambda x: x["plain"])
@@ -68,12 +82,15 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_language": op2_language,
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_source_mix": op6_source_mix,
     "op7_simhash": op7_simhash,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_urls": op9_urls,
     "op10_pii": op10_pii,
 }
 
