@@ -147,29 +147,36 @@ def _null_safe(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
+def _planned(sizes: DataFrame, **how) -> DataFrame:
+    """One row per source: what it is taken whole, and its threshold."""
+    plan = written(targets(sizes, **how), "targets")
+    cuts = thresholds(sizes, plan.select("source", "rest")).withColumnRenamed("source", "of")
+    plan = plan.join(cuts, _null_safe("source", "of")).drop("of", "rest")
+    return written(plan.withColumnRenamed("source", "of"), "plan")
+
+
+def _copies(name: Column) -> Column:
+    hit = (name < F.col("threshold")) | ((name == F.col("threshold")) & F.col("whole"))
+    return F.col("times") + hit.cast("long")
+
+
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, copies, taken."""
+    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
     sizes = written(sized(docs), "sizes")
-    plan = written(targets(sizes, **how), "targets")
-    cuts = thresholds(sizes, plan.select("source", "rest"))
-    plan = plan.join(cuts.withColumnRenamed("source", "of"), _null_safe("source", "of")).drop("of", "rest")
-    plan = written(plan.withColumnRenamed("source", "of"), "plan")
-    rows = sizes.join(plan, _null_safe("source", "of"))
-    hit = (F.col("hash") < F.col("threshold")) | ((F.col("hash") == F.col("threshold")) & F.col("whole"))
-    copies = F.col("times") + hit.cast("long")
-    return rows.select(
-        "doc_id", "hash", "size", "source", "source_size", "target",
-        copies.alias("copies"), (copies * F.col("size")).alias("taken"),
-    )
+    rows = sizes.join(_planned(sizes, **how), _null_safe("source", "of"))
+    rows = rows.withColumn("copies", _copies(F.col("hash")))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", taken)
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The documents that the mix takes, with ``copies`` and ``taken``."""
-    name = _hash(F.col("doc_id"), F.col("text"))
-    plan = mix(docs, **how).where("copies > 0").select(
-        F.col("hash").alias("mix_hash"), F.col("source").alias("mix_source"), "copies", "size"
-    )
-    plan = written(plan.dropDuplicates(["mix_hash", "mix_source"]), "mix")
-    same = (name == F.col("mix_hash")) & _null_safe("source", "mix_source")
-    taken = docs.drop("copies", "taken", "size").join(plan, same)
-    return taken.withColumn("taken", F.col("copies") * F.col("size")).drop("mix_hash", "mix_source", "size")
+    """The documents that the mix takes, with how often (``copies``) and their words (``taken``)."""
+    plan = _planned(written(sized(docs), "sizes"), **how)
+    plan = plan.select(F.struct("times", "threshold", "whole").alias("_plan"), F.col("of").alias("_of"))
+    columns = [name for name in docs.columns if name not in ("copies", "taken")]
+    rows = docs.select(*columns).join(plan, _null_safe("source", "_of"))
+    hit = _hash(F.col("doc_id"), F.col("text"))
+    threshold, whole = F.col("_plan.threshold"), F.col("_plan.whole")
+    hit = ((hit < threshold) | ((hit == threshold) & whole)).cast("long")
+    rows = rows.withColumn("copies", F.col("_plan.times") + hit).where("copies > 0")
+    return rows.select(*columns, "copies", (F.col("copies") * word_count(F.col("text"))).alias("taken"))

@@ -49,7 +49,7 @@ FEW_SHARED = 9  # of LISTED values: fewer cannot be at this similarity
 MOSTLY_RARE = 14  # of LISTED values outside long lists: partners share one of them
 LEAST_ESTIMATE = 0.55  # of the union sketch
 
-_SKETCH_SCHEMA = "doc_id long, n_shingles long, class string, sketch array<long>"
+_SKETCH_SCHEMA = "doc_id long, text_id long, n_shingles long, class string, sketch array<long>"
 
 
 def _digest(values: np.ndarray) -> str | None:
@@ -71,17 +71,20 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
+                part.column("text_id"),
                 pa.array(sizes, pa.int64()),
                 pa.array(classes, pa.string()),
                 list_column(kept, pa.int64()),
             ],
-            names=["doc_id", "n_shingles", "class", "sketch"],
+            names=["doc_id", "text_id", "n_shingles", "class", "sketch"],
         )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
     """Set size, set digest (null for an empty set) and bottom-k sketch of each document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_id")
+    )
     return rows.mapInArrow(_sketches, _SKETCH_SCHEMA)
 
 
@@ -263,10 +266,11 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: Fraction = SIMILARIT
 
 
 def near_duplicates(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, text_id, n_shingles, component_id, kept.
 
     ``component_id`` is the least doc_id reachable over links of at least this
-    similarity, ``kept`` is whether it is the document's own.
+    similarity, ``kept`` is whether it is the document's own. ``text_id`` is a
+    hash of the text.
     """
     if not Fraction(80, 100) <= similarity <= 1:
         raise ValueError("similarity must be from 0.8 to 1")
@@ -279,7 +283,7 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataF
     placed = written(placed.select("class", F.coalesce("component", "rep").alias("component")), "placed")
     own = F.coalesce("component", "doc_id")
     rows = sketched.join(placed, "class", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id")
+        "doc_id", "text_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id")
     )
     return rows.withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
@@ -287,11 +291,18 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataF
 
 
 def kept_documents(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """The documents without all but one of each component; of repeated rows of that one, all but one go."""
-    found = near_duplicates(docs, similarity)
-    out = written(found.where("NOT kept").select("doc_id").distinct(), "dropped")
-    kept = docs.join(out, "doc_id", "left_anti")
-    twice = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    twice = written(twice.select("doc_id"), "repeated")
-    single = kept.join(twice, "doc_id", "left_anti")
-    return single.unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """The documents that are kept, all columns; of rows that repeat one, any one stays."""
+    found = written(near_duplicates(docs, similarity), "judged")
+    key = ["doc_id", "text_id"]
+    out = written(found.where("NOT kept").select(*key).distinct(), "dropped")
+    key_of = [F.col("doc_id").cast("long"), F.xxhash64("text")]
+    names = [f"_{name}" for name in key]  # beside any columns the documents have
+    named = docs.withColumns(dict(zip(names, key_of)))
+    renamed = lambda df: df.toDF(*names)
+    kept = named.join(renamed(out), names, "left_anti")
+    twice = found.where("kept AND doc_id IS NOT NULL").groupBy(*key).agg(F.count("*").alias("n"))
+    twice = written(twice.where("n > 1").select(*key), "repeated")
+    if not twice.isEmpty():
+        one = kept.join(renamed(twice), names, "left_semi").dropDuplicates(names)
+        kept = kept.join(renamed(twice), names, "left_anti").unionByName(one)
+    return kept.select(*docs.columns)

@@ -26,7 +26,7 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(_documents(spark, folder))
+    return neardup.near_duplicates(_documents(spark, folder)).drop("text_id")
 
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -297,6 +297,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(_score(model), _SCORED)
 
 
+def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not predicted to be toxic, all columns kept.
+
+    Rows are judged where they are, so there is no join and ids do not matter.
+    """
+    model = fit(docs, labels)
+    judge = _score(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, _, _ in slices(batches):
+            scores = next(judge(iter([part]))).column("score").to_numpy()
+            yield part.filter(pa.array(scores < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document with held_out, score, predicted, evidence and passages."""
     scored = score(docs, fit(docs, labels))

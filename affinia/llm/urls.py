@@ -46,7 +46,8 @@ ALLOWED_NAMES = (
     "history", "recipes", "kitchen", "garden", "travel", "hiking-club", "bookshop", "music", "theatre",
     "health", "hospital", "clinic", "government", "council", "open-data", "developer", "docs", "wiki",
     "forum", "support", "photo-archive", "football", "running", "bank", "insurance",
-    "orchestra", "astronomy", "farm-shop", "bet-el-church", "adult-education", "press-office",
+    "orchestra", "astronomy", "meteorology", "translation", "mathematics", "newsletter", "weather-maps",
+    "theatre-tickets", "northern-trains", "other-stories", "tenant-union", "heritage-trail",
 )
 _SHAPES = (
     "https://www.{}.example.org/en/12.html",
