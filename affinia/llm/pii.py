@@ -129,7 +129,8 @@ class Mapped:
     """A rewritten text that knows the source characters of each of its own.
 
     Rewritten parts are kept as (start, end, source start, source end); what lies
-    between them is unchanged and only shifted.
+    between them is unchanged and only shifted. A part becomes one character or
+    none, so a later step never rewrites half of it.
     """
 
     def __init__(self, text: str):

@@ -172,7 +172,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     buckets = min(max(1, count // ROWS_IN_BUCKET), MOST_BUCKETS)
     shares = [i / buckets for i in range(1, buckets)] or [0.5]
     found = rows.agg(F.percentile_approx("at", shares, 10 * MOST_BUCKETS)).first()[0] or []
-    bounds = [-float("inf"), *sorted(set(found)), float("inf")]
+    bounds = [-float("inf"), *(sorted(set(found)) or [0.0]), float("inf")]
     rows = Bucketizer(splits=bounds, inputCol="at", outputCol="bucket").transform(rows).drop("at")
     tops = rows.groupBy("bucket").agg(F.max("key").alias("key")).collect()  # one row a bucket
     tops = sorted((row["bucket"], row["key"]) for row in tops)

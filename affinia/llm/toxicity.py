@@ -3,9 +3,9 @@
 1. For every token and for its beginnings (``PREFIXES``): in how many documents of
    each label it occurs, and how often in the whole corpus. The two label counts
    are compared as log-odds with a Dirichlet prior that is proportional to the
-   corpus counts. A word takes the log-odds of the longest form that is more
-   than ``LEAST_Z`` deviations from zero, so inflected and compound forms score
-   by their stem; without such a form it scores zero.
+   corpus counts. A word takes the log-odds of the longest form whose counts
+   deviate by ``LEAST_DEVIANCE`` from those of equal shares, so inflected and
+   compound forms score by their stem; without such a form it scores zero.
 2. A drift is taken from every token, so that ordinary text has a
    negative expected score. One linear scan (Ruzzo and Tompa) finds all
    disjoint maximal segments of a document.
@@ -41,7 +41,8 @@ SAMPLE_ROWS = 30_000
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 PRIOR = 20.0  # documents of each label that the prior is worth
-LEAST_Z = 4.0
+LEAST_PRIOR = 0.5  # documents, of each token
+LEAST_DEVIANCE = 25.0  # of the likelihood ratio test, as for five standard deviations
 PREFIXES = (8, 6, 5, 4)  # bytes
 DRIFT = 0.1
 MOST_EVIDENCE = 60.0
@@ -98,10 +99,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _log_odds(counts: np.ndarray, clean: int, toxic: int) -> np.ndarray:
     n, n0, n1 = counts.astype(float)
-    prior = PRIOR * (n + 1) / (n.sum() + BUCKETS)
-    y0, y1 = n0 + prior, n1 + prior
-    odds = np.log(y1 / (toxic + PRIOR)) - np.log(y0 / (clean + PRIOR))
-    return np.where(np.abs(odds) >= LEAST_Z * np.sqrt(1 / y0 + 1 / y1), odds, 0.0)
+    prior = np.maximum(PRIOR * (n + 1) / (n.sum() + BUCKETS), LEAST_PRIOR)
+    odds = np.log((n1 + prior) / (toxic + PRIOR)) - np.log((n0 + prior) / (clean + PRIOR))
+    share = toxic / (toxic + clean)
+    usual1, usual0 = (n0 + n1) * share, (n0 + n1) * (1 - share)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        deviance = 2 * (
+            np.where(n1 > 0, n1 * np.log(n1 / usual1), 0) + np.where(n0 > 0, n0 * np.log(n0 / usual0), 0)
+        )
+    return np.where(deviance >= LEAST_DEVIANCE, odds, 0.0)
 
 
 def _rate(scores: np.ndarray, frequencies: np.ndarray) -> float:
