@@ -107,7 +107,7 @@ def _score_pairs(spark, folder) -> DataFrame:
 
 
 def _item_norms(spark, folder) -> DataFrame:
-    return _rounded(scoring.item_norms(tables.item_factors(spark, folder)), "norm")
+    return _rounded(scoring.item_norms(tables.item_factors(spark, folder), RANK), "norm")
 
 
 def _unseen(spark, folder) -> DataFrame:
@@ -123,6 +123,7 @@ def _top_n_for_user(spark, folder) -> DataFrame:
         tables.user_factors(spark, folder),
         tables.item_factors(spark, folder),
         USER_ID,
+        rank=RANK,
     )
     return _rounded(found, S.PREDICTION)
 
@@ -146,7 +147,10 @@ def _recommend_all_unseen(spark, folder) -> DataFrame:
 
 def _similar_items(spark, folder) -> DataFrame:
     found = similar.similar_items(
-        tables.item_factors(spark, folder), tables.catalog(spark, folder), MOVIE_ID
+        tables.item_factors(spark, folder),
+        tables.catalog(spark, folder),
+        MOVIE_ID,
+        rank=RANK,
     )
     return _rounded(found, S.SIMILARITY)
 

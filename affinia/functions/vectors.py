@@ -26,9 +26,9 @@ def dot(a: Column, b: Column, rank: int | None = None) -> Column:
     return F.when((F.size(a) == rank) & (F.size(b) == rank), total)
 
 
-def norm(a: Column) -> Column:
+def norm(a: Column, rank: int | None = None) -> Column:
     """Euclidean length of an array."""
-    return F.sqrt(dot(a, a))
+    return F.sqrt(dot(a, a, rank))
 
 
 def cosine_from(dot_ab: Column, norm_a: Column, norm_b: Column) -> Column:

@@ -50,11 +50,17 @@ def popular_items(ratings: DataFrame, minimum: int) -> DataFrame:
 
 
 def keep_active_users(ratings: DataFrame, minimum: int) -> DataFrame:
-    return ratings.join(active_users(ratings, minimum), S.USER, "left_semi")
+    """Ratings of active users.
+
+    Rebalancing puts a shuffle of the few keys between the count and the join. Only then may Spark split a
+    user with very many ratings over several tasks.
+    """
+    return ratings.join(active_users(ratings, minimum).hint("rebalance"), S.USER, "left_semi")
 
 
 def keep_popular_items(ratings: DataFrame, minimum: int) -> DataFrame:
-    return ratings.join(popular_items(ratings, minimum), S.ITEM, "left_semi")
+    """Ratings of popular items; a very popular one is split in the same way."""
+    return ratings.join(popular_items(ratings, minimum).hint("rebalance"), S.ITEM, "left_semi")
 
 
 def clean(

@@ -22,9 +22,10 @@ def with_titles(ranked: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add title and genres to rows that name an item.
 
     Which side is broadcast, if any, is left to Spark: it compares their
-    sizes, and a ranked list that is limited is small by its plan.
+    sizes, and a ranked list that is limited is small by its plan. Rebalancing the
+    titles lets it split an item that most lists name.
     """
-    return ranked.join(one_row_per_item(catalog), S.ITEM)
+    return ranked.join(one_row_per_item(catalog).hint("rebalance"), S.ITEM)
 
 
 def with_titles_of_few(ranked: DataFrame, catalog: DataFrame) -> DataFrame:

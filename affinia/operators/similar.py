@@ -9,24 +9,31 @@ from affinia.operators.grid import top_n
 from affinia.operators.lookup import in_catalog, with_titles, with_titles_of_few
 from affinia.operators.ranking import best
 from affinia.operators.recommend import vector_of
+from affinia.operators.scoring import usable
 from affinia.settings import TOP_N
 
 
 def similar_items(
-    item_factors: DataFrame, catalog: DataFrame, movie_id: int, n: int = TOP_N
+    item_factors: DataFrame,
+    catalog: DataFrame,
+    movie_id: int,
+    n: int = TOP_N,
+    rank: int | None = None,
 ) -> DataFrame:
     """The n catalogue items most similar to one item, without the item itself.
 
-    An unknown item gives no rows.
+    An unknown item gives no rows. With the ``rank`` of the vectors, products stay in
+    generated code.
     """
+    item_factors = usable(item_factors, rank)
     others = in_catalog(item_factors.filter(F.col(S.ID) != movie_id), catalog)
-    target = vector_of(item_factors, movie_id)
+    target = vector_of(item_factors, movie_id, rank)
     scored = (
         others.withColumn("target", target)
         .select(
             F.col(S.ID).alias(S.ITEM),
-            dot(F.col(S.FEATURES), F.col("target.vector")).alias("product"),
-            norm(F.col(S.FEATURES)).alias("length"),
+            dot(F.col(S.FEATURES), F.col("target.vector"), rank).alias("product"),
+            norm(F.col(S.FEATURES), rank).alias("length"),
             F.col("target.length").alias("target_length"),
         )
         .select(

@@ -1,11 +1,15 @@
 """The batch job: from ratings to a stored model and answers."""
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from affinia import schemas as S
+from affinia.operators.activity import dataset_stats, service_stats
 from affinia.operators.cleaning import clean
 from affinia.operators.factorize import evaluate, fit
 from affinia.operators.recommend import recommend_all_users, top_n_for_user
@@ -35,6 +39,13 @@ class Answers:
     similar: DataFrame
 
 
+def loaded(ratings: DataFrame) -> DataFrame:
+    """Statistics of landed ratings, and how many rows have a cell that is missing or did not fit."""
+    incomplete = reduce(or_, (F.col(name).isNull() for name in ratings.columns))
+    count = ratings.agg(F.count_if(incomplete)).scalar()
+    return dataset_stats(ratings).withColumn("incomplete", count)
+
+
 def land(spark: SparkSession, data_dir: str, base: str) -> tuple[DataFrame, DataFrame]:
     """Land the input files and read them back as ratings and catalogue."""
     land_raw(spark, data_dir, base)
@@ -62,8 +73,9 @@ def train(
         "reg_param": preset.reg_param,
         "alpha": preset.alpha,
         "seed": seed,
+        "blocks": blocks or preset.blocks,
     }
-    model = fit(side(split, S.TRAIN), blocks=blocks, **params)
+    model = fit(side(split, S.TRAIN), **params)
     path = save_model(spark, model, model_path(base), params)
     stored = load_model(path)
     return Trained(stored, evaluate(stored, side(split, S.TEST)), path)
@@ -74,13 +86,19 @@ def recommend(
 ) -> DataFrame:
     """Recommendations for one user from the stored model."""
     model = load_model(model_path(base))
-    return top_n_for_user(ratings, catalog, model.userFactors, model.itemFactors, user_id, n)
+    users, items = model.userFactors, model.itemFactors
+    return top_n_for_user(ratings, catalog, users, items, user_id, n, model.rank)
 
 
 def similar(catalog: DataFrame, base: str, movie_id: int, n: int = TOP_N) -> DataFrame:
     """Items similar to one item from the stored model."""
     model = load_model(model_path(base))
-    return similar_items(model.itemFactors, catalog, movie_id, n)
+    return similar_items(model.itemFactors, catalog, movie_id, n, model.rank)
+
+
+def statistics(ratings: DataFrame, catalog: DataFrame, base: str) -> DataFrame:
+    """Service statistics, with the rank of the stored model."""
+    return service_stats(ratings, catalog, load_model(model_path(base)).rank)
 
 
 def recommend_everyone(

@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from affinia import schemas as S
-from affinia.functions.rounding import PREDICTION_DIGITS, SIMILARITY_DIGITS, rounded
+from affinia.functions.rounding import METRIC_DIGITS, PREDICTION_DIGITS, SIMILARITY_DIGITS, rounded
 from affinia.settings import TOP_N, clamp_top_n
 
 
@@ -25,6 +25,7 @@ def _answer(lists: DataFrame, name: str, fields: list[str]) -> DataFrame:
     return lists.withColumn(name, plain).withColumn("count", F.size(name))
 
 
+# Names of the fields in answers.
 _RECOMMENDED = ["movie_id", S.TITLE, S.GENRES, "predicted_rating"]
 _SIMILAR = ["movie_id", S.TITLE, S.GENRES, "similarity"]
 
@@ -100,6 +101,12 @@ def similar_answer(similar: DataFrame, movie_id: int, n: int = TOP_N) -> DataFra
     return _answer(answer, "similar_movies", _SIMILAR).filter(F.col("count") > 0)
 
 
+def metrics_answer(metrics: DataFrame) -> DataFrame:
+    """Errors of a model as they are reported."""
+    errors = {name: rounded(F.col(name), METRIC_DIGITS) for name in ("rmse", "mae")}
+    return metrics.withColumns(errors)
+
+
 def stats_answer(stats: DataFrame) -> DataFrame:
     """Service statistics as two groups of fields."""
     return stats.select(

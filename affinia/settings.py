@@ -14,6 +14,10 @@ class Preset:
     max_iter: int = 10
     reg_param: float = 0.1
     alpha: float = 1.0
+    # Blocks of users, and of items, in a fit. The first random factors depend on them, so
+    # they are part of the parameters and never follow from a cluster or the data. A
+    # fit has one task per block: set more for ratings beyond some hundred million.
+    blocks: int = 10
 
 
 # Defaults a caller relies on.
@@ -41,7 +45,6 @@ def clamp_top_n(n: int = TOP_N) -> int:
 
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 100_000
 
 
 def session_conf(input_bytes: int, cores: int) -> dict[str, str]:
@@ -51,7 +54,7 @@ def session_conf(input_bytes: int, cores: int) -> dict[str, str]:
     partitions to larger ones while it runs, but splits a large one only where
     a join is skewed, so their number has to suit the input.
     """
-    partitions = min(ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    partitions = ceil(input_bytes / SHUFFLE_PARTITION_BYTES)
     return {
         "spark.sql.shuffle.partitions": str(max(cores, partitions)),
         "spark.sql.adaptive.enabled": "true",

@@ -133,10 +133,30 @@ def test_tune(planted):
     assert min(r["avg_rmse"] for r in rows) == next(r["avg_rmse"] for r in rows if r["is_best"]) < 0.1
 
 
-def test_blocks_follow_cores_and_volume():
-    assert factorize.blocks_for(600_000, 8) == 8
-    assert factorize.blocks_for(10**9, 10_000) == 400
-    assert factorize.blocks_for(10**12, 10_000) == 50_000
+def _vectors(model):
+    return {row["id"]: list(row["features"]) for row in model.userFactors.collect()}
+
+
+def test_tuned_model_is_the_fit_and_keeps_its_parameters(spark, planted, tmp_path):
+    path = str(tmp_path / "tuned")
+    tuned = factorize.tune(planted, (3,), (0.001,), (5,), blocks=4, test=planted, path=path)
+    assert tuned.path == path and tuned.test_rmse < 0.1
+    kept = models.load_params(spark, path).first().asDict()
+    assert kept == {"rank": 3, "reg_param": 0.001, "max_iter": 5, "seed": 42, "blocks": 4}
+    again = _vectors(factorize.fit(planted, 3, 5, 0.001, blocks=4))
+    assert {i: pytest.approx(v, abs=1e-3) for i, v in _vectors(tuned.model).items()} == again
+
+
+def test_combinations_without_an_error_are_refused():
+    params = [{"rank": 1}, {"rank": 2}, {"rank": 3}]
+    assert factorize.least_error(params, [0.5, 0.2, 0.2]) == 1
+    with pytest.raises(ValueError, match="'rank': 2"):
+        factorize.least_error(params, [0.5, float("nan"), 0.2])
+
+
+def test_model_does_not_depend_on_how_ratings_are_spread(planted):
+    one, two = (_vectors(factorize.fit(planted.repartition(n), 3, 3, 0.01)) for n in (2, 7))
+    assert {i: pytest.approx(v, abs=1e-3) for i, v in one.items()} == two
 
 
 def test_metrics(spark):

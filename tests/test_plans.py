@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinia import schemas as S
-from affinia.operators import activity, candidates, cleaning, recommend, scoring, similar, splitting
+from affinia.operators import activity, candidates, cleaning, lookup, recommend, scoring, similar
+from affinia.operators import splitting
 from affinia.settings import Preset
-from affinia.sources import workspace
+from affinia.sources import landing, workspace
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +110,52 @@ def test_one_partition_is_one_cell(stored, monkeypatch):
     # Forty items in slices of ten, forty users in four rows.
     assert re.search(r"shufflepartitionidpassthrough\(.*, 16\), REPARTITION_BY_NUM", plan_of(found))
     assert found.count() == 120
+
+
+@pytest.fixture
+def small_skew_limits(spark, stored):
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _with_hot_key(spark, hot: str, other: str):
+    """Distinct pairs, a third of them with one ``hot`` key."""
+    n = F.col("id")
+    rows = spark.range(30_000).select(
+        F.when(n % 3 == 0, 0).otherwise(n % 1000).cast("int").alias(hot),
+        n.cast("int").alias(other),
+        F.lit(1.0).cast("float").alias(S.RATING),
+        n.cast("int").alias(S.TIMESTAMP),
+    )
+    return workspace.written(rows.select(S.USER, S.ITEM, S.RATING, S.TIMESTAMP), "hot")
+
+
+def test_hot_keys_are_split_after_deduplication(spark, small_skew_limits):
+    users = cleaning.latest_ratings(_with_hot_key(spark, S.USER, S.ITEM))
+    assert "skew=true" in final_plan_of(cleaning.keep_active_users(users, 2))
+    items = cleaning.latest_ratings(_with_hot_key(spark, S.ITEM, S.USER))
+    assert "skew=true" in final_plan_of(cleaning.keep_popular_items(items, 2))
+
+
+def test_a_title_in_most_lists_is_split(spark, stored, small_skew_limits):
+    ranked = _with_hot_key(spark, S.ITEM, S.USER)
+    assert "skew=true" in final_plan_of(lookup.with_titles(ranked, stored[1]))
+
+
+def test_landed_ratings_are_sorted_for_reads_of_one_user(spark, stored, tmp_path):
+    stored[0].coalesce(1).write.option("header", True).csv(str(tmp_path / "ratings.csv"))
+    landing.land_raw(spark, str(tmp_path), str(tmp_path / "base"))
+    landed = landing.landed_ratings(spark, str(tmp_path / "base"))
+    users = [row[S.USER] for row in landed.coalesce(1).collect()]
+    assert users == sorted(users)

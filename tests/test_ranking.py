@@ -137,6 +137,31 @@ def test_grid_against_brute_force(spark, ratings_of, factors_of, slice_bytes, co
     assert rounded(free) == brute_force(users, items, 7, cosine=cosine)
 
 
+def test_unusable_vectors_are_left_out_everywhere(factors_of, catalog_of, ratings_of):
+    bad = [(3, [float("inf"), 1.0]), (4, [float("nan"), 1.0]), (5, None)]
+    items = factors_of([(1, [1.0, 0.0]), (2, [0.5, 1.0]), *bad])
+    users = factors_of([(1, [1.0, 1.0])])
+    catalog = catalog_of([(i, "t", "g") for i in range(1, 7)])
+    none = ratings_of([])
+    one = recommend.top_n_for_user(none, catalog, users, items, 1)
+    every = recommend.recommend_all_users(users, items, catalog)
+    pairs = ratings_of([(1, i, 1.0, 0) for i in range(1, 7)]).select(S.USER, S.ITEM)
+    scored = scoring.score_pairs(pairs, users, items)
+    like = similar.similar_items(items, catalog, 1)
+    for found, expected in ((one, {1, 2}), (every, {1, 2}), (scored, {1, 2}), (like, {2})):
+        assert {row[S.ITEM] for row in found.collect()} == expected
+
+
+def test_seen_ids_that_are_no_items(ratings_of, factors_of):
+    items = factors_of([(i, [1.0, i / 10]) for i in range(20)])
+    users = factors_of([(1, [1.0, 1.0]), (2, [1.0, 1.0])])
+    seen = ratings_of([(1, i, 1.0, 0) for i in range(10, 3000)])
+    found = grid.top_n(users, items, 3, seen).collect()
+    best = {(row["left"], row["rank"]): row["right"] for row in found}
+    assert [best[1, r] for r in (1, 2, 3)] == [9, 8, 7]
+    assert [best[2, r] for r in (1, 2, 3)] == [19, 18, 17]
+
+
 def test_ids_of_different_types_meet(spark, factors_of):
     users, items = random_factors(6, 30, 3), random_factors(7, 30, 3)
     pairs = {(u, i) for u in range(30) for i in range(0, 30, 2)}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from affinia import schemas as S
 from affinia.operators.splitting import with_split
+from affinia.plans import batch
 from affinia.settings import session_conf
 from affinia.sources import csv_files, landing, tables, workspace
 from tests.conftest import tuples
@@ -80,6 +81,18 @@ def test_landing_skips_what_is_complete(spark, data_dir, tmp_path, caplog):
     assert landing.landed_ratings(spark, base).count() == 0
 
 
+def test_missing_ratings_are_named(spark, tmp_path):
+    (tmp_path / "movies.csv").write_text(CATALOG_TEXT)
+    with pytest.raises(FileNotFoundError, match="ratings.csv"):
+        batch.land(spark, str(tmp_path), str(tmp_path / "base"))
+
+
+def test_load_statistics_count_incomplete_rows(spark, data_dir, tmp_path):
+    ratings, _ = batch.land(spark, str(data_dir), str(tmp_path / "base"))
+    found = batch.loaded(ratings).first()
+    assert (found["ratings"], found["incomplete"]) == (3, 2)
+
+
 def test_processed_keeps_rows(spark, ratings_of, tmp_path):
     split = with_split(ratings_of([(u, i, 3.0, 1) for u in range(20) for i in range(10)]))
     stored = landing.write_processed(split, str(tmp_path))
@@ -135,4 +148,4 @@ def test_a_cluster_needs_a_shared_folder():
 def test_shuffle_partitions_suit_the_input():
     assert session_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "8"
     assert session_conf(10**12, 8)["spark.sql.shuffle.partitions"] == "7451"
-    assert session_conf(10**14, 8)["spark.sql.shuffle.partitions"] == "100000"
+    assert session_conf(10**14, 8)["spark.sql.shuffle.partitions"] == "745059"
