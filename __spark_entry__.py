@@ -8,16 +8,18 @@ from pathlib import Path
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from affinia import schemas as S  # noqa: E402
+from affinia.functions import vectors  # noqa: E402
 from affinia.operators import activity, candidates, cleaning, factorize, lookup  # noqa: E402
 from affinia.operators import metrics, recommend, scoring, similar, splitting  # noqa: E402
+from affinia.operators.grid import top_n  # noqa: E402
 from affinia.plans import batch, payloads  # noqa: E402
-from affinia.settings import TOP_N, Preset  # noqa: E402
+from affinia.settings import TOP_N, TUNE_FOLDS, Preset  # noqa: E402
 from affinia.sources import landing, models  # noqa: E402
 from affinia.sources import order_tables as tables  # noqa: E402
 from affinia.sources.workspace import new_folder, written  # noqa: E402
@@ -207,8 +209,16 @@ def _als_user_factors(spark, folder) -> DataFrame:
 
 
 def _als_item_factors(spark, folder) -> DataFrame:
-    model, _ = _trained(spark, folder)
-    return model.itemFactors.select(F.col(S.ID).alias(S.ITEM), F.size(S.FEATURES).alias("rank"))
+    """Whether each item solves its least squares against the users of one iteration before."""
+    model, split = _trained(spark, folder)
+    train = splitting.side(split, S.TRAIN)
+    before = factorize.fit(train, CLEANING.rank, CLEANING.max_iter - 1, CLEANING.reg_param)
+    turned = train.select(F.col(S.ITEM).alias(S.USER), F.col(S.USER).alias(S.ITEM), S.RATING)
+    gaps = metrics.least_squares_gap(
+        turned, model.itemFactors, before.userFactors, CLEANING.reg_param, CLEANING.rank
+    )
+    solved = (F.col("gap") < 1e-2).alias("is_solution")
+    return gaps.select(F.col(S.USER).alias(S.ITEM), "n", "rank", solved)
 
 
 def _als_predict(spark, folder) -> DataFrame:
@@ -219,9 +229,25 @@ def _als_predict(spark, folder) -> DataFrame:
     return both.select(S.USER, S.ITEM, S.RATING, agrees.alias("as_mllib"))
 
 
+def _by_expression(pairs: DataFrame, model: ALSModel) -> DataFrame:
+    """Pairs with the inner product of their factors, by plain joins, as ``expected``."""
+    users = model.userFactors.select(F.col(S.ID).alias(S.USER), F.col(S.FEATURES).alias("u"))
+    items = model.itemFactors.select(F.col(S.ID).alias(S.ITEM), F.col(S.FEATURES).alias("v"))
+    both = pairs.join(users, S.USER).join(items, S.ITEM)
+    return both.withColumn("expected", vectors.dot(F.col("u"), F.col("v"))).drop("u", "v")
+
+
 def _als_evaluate(spark, folder) -> DataFrame:
+    """Whether both errors are those of plain joins."""
     model, split = _trained(spark, folder)
-    return factorize.evaluate(model, splitting.side(split, S.TEST))
+    test = splitting.side(split, S.TEST)
+    error = F.col(S.RATING) - F.col("expected").cast("float")
+    plain = _by_expression(test, model)
+    rmse, mae = F.sqrt(F.avg(error * error)), F.avg(F.abs(error))
+    found = factorize.evaluate(model, test)
+    rmse_same = F.abs(F.col("rmse") - plain.agg(rmse).scalar()) < 1e-6
+    mae_same = F.abs(F.col("mae") - plain.agg(mae).scalar()) < 1e-6
+    return found.select("n_scored", "n_total", (rmse_same & mae_same).alias("exact"))
 
 
 def _als_evaluate_as_mllib(spark, folder) -> DataFrame:
@@ -240,50 +266,156 @@ def _als_recommend_all_as_mllib(spark, folder) -> DataFrame:
     model, _ = _trained(spark, folder)
     theirs = model.recommendForAllUsers(TOP_N).select(S.USER, F.posexplode("recommendations"))
     theirs = theirs.select(S.USER, (F.col("pos") + 1).alias(S.RANK), "col.rating")
-    both = _als_recommend_all(spark, folder).join(theirs, [S.USER, S.RANK], "full")
+    both = _als_everyone(spark, folder, None)[0].join(theirs, [S.USER, S.RANK], "full")
     same = F.abs(F.col("predicted_rating") - F.col("rating")) < 1e-4
     return both.groupBy(S.USER).agg(
         F.count("*").alias("n"), F.every(F.coalesce(same, F.lit(False))).alias("as_mllib")
     )
 
 
+def _one_list(found: DataFrame, scored: DataFrame, score: str) -> DataFrame:
+    """Whether a short list has the items and scores of a full sort, rank by rank."""
+    best = scored.orderBy(F.desc("expected"), S.ITEM).limit(TOP_N)
+    order = Window.orderBy(F.desc("expected"), S.ITEM)
+    best = best.select(F.row_number().over(order).alias(S.RANK), F.col(S.ITEM).alias("item"), "expected")
+    same = (F.col(S.ITEM) == F.col("item")) & (F.abs(F.col(score) - F.col("expected")) < 1e-9)
+    both = found.join(best, S.RANK, "full")
+    return both.select(S.RANK, F.coalesce(same, F.lit(False)).alias("exact"))
+
+
 def _als_top_n_for_user(spark, folder) -> DataFrame:
     model, _ = _trained(spark, folder)
-    return recommend.top_n_for_user(
-        tables.ratings(spark, folder),
-        tables.catalog(spark, folder),
-        model.userFactors,
-        model.itemFactors,
-        USER_ID,
-    )
+    ratings, catalog = tables.ratings(spark, folder), tables.catalog(spark, folder)
+    users, items = model.userFactors, model.itemFactors
+    found = recommend.top_n_for_user(ratings, catalog, users, items, USER_ID, rank=model.rank)
+    unseen = candidates.unseen_items(ratings, catalog, USER_ID)
+    return _one_list(found, _by_expression(unseen, model), S.PREDICTION)
 
 
-def _als_recommend_all(spark, folder) -> DataFrame:
+def _exact_lists(found: DataFrame, model: ALSModel) -> DataFrame:
+    """Whether every score is that of plain joins, and no list rises."""
+    both = _by_expression(found, model)
+    before = F.lag("predicted_rating").over(Window.partitionBy(S.USER).orderBy(S.RANK))
+    falls = F.coalesce(before >= F.col("predicted_rating"), F.lit(True))
+    same = F.abs(F.col("predicted_rating") - F.col("expected")) < 1e-9
+    return both.select(S.USER, S.ITEM, S.RANK, (same & falls).alias("exact"))
+
+
+def _als_everyone(spark, folder, seen: DataFrame | None) -> tuple[DataFrame, ALSModel]:
     model, _ = _trained(spark, folder)
-    return recommend.recommend_all_users(
-        model.userFactors, model.itemFactors, tables.catalog(spark, folder)
-    )
+    catalog = tables.catalog(spark, folder)
+    return recommend.recommend_all_users(model.userFactors, model.itemFactors, catalog, seen=seen), model
+
+
+def _als_recommend_all(spark, folder) -> DataFrame:
+    return _exact_lists(*_als_everyone(spark, folder, None)).drop(S.ITEM)
 
 
 def _als_recommend_all_unseen(spark, folder) -> DataFrame:
-    model, _ = _trained(spark, folder)
-    return recommend.recommend_all_users(
-        model.userFactors,
-        model.itemFactors,
-        tables.catalog(spark, folder),
-        seen=tables.ratings(spark, folder),
-    )
+    """The same, and whether the item was not rated by the user."""
+    ratings = tables.ratings(spark, folder)
+    found = _exact_lists(*_als_everyone(spark, folder, ratings))
+    rated = ratings.select(S.USER, S.ITEM).distinct().withColumn("rated", F.lit(True))
+    both = found.join(rated, [S.USER, S.ITEM], "left")
+    return both.select(S.USER, S.RANK, (F.col("exact") & F.col("rated").isNull()).alias("exact"))
 
 
 def _als_similar_items(spark, folder) -> DataFrame:
     model, _ = _trained(spark, folder)
-    return similar.similar_items(model.itemFactors, tables.catalog(spark, folder), MOVIE_ID)
+    catalog, items = tables.catalog(spark, folder), model.itemFactors
+    found = similar.similar_items(items, catalog, MOVIE_ID, rank=model.rank)
+    target = items.where(F.col(S.ID) == MOVIE_ID).agg(F.max(S.FEATURES)).scalar()
+    others = lookup.in_catalog(items.where(F.col(S.ID) != MOVIE_ID), catalog).withColumn("t", target)
+    cosine = vectors.cosine(F.col("t"), F.col(S.FEATURES)).alias("expected")
+    scored = others.where("t IS NOT NULL").select(F.col(S.ID).alias(S.ITEM), cosine)
+    return _one_list(found, scored, S.SIMILARITY)
+
+
+TUNED = {"ranks": (4, 8), "reg_params": (0.1, 1.0), "max_iters": (3,)}
 
 
 def _als_tune(spark, folder) -> DataFrame:
+    """Whether each error is the mean over separately fitted folds, and the best one the least."""
     _, split = _trained(spark, folder)
     train = splitting.side(split, S.TRAIN)
-    return factorize.tune(train, (4, 8), (0.1, 1.0), (3,)).grid
+    grid = factorize.tune(train, **TUNED).grid
+    folded = written(splitting.with_fold(train, TUNE_FOLDS), "folds")
+    means = []
+    for rank in TUNED["ranks"]:
+        for reg_param in TUNED["reg_params"]:
+            errors = []
+            for fold in range(TUNE_FOLDS):
+                model = factorize.fit(folded.where(F.col("fold") != fold), rank, 3, reg_param)
+                test = folded.where(F.col("fold") == fold)
+                errors.append(factorize.evaluate(model, test).first()["rmse"])
+            means.append((rank, reg_param, sum(errors) / len(errors)))
+    expected = spark.createDataFrame(means, "rank int, reg_param double, expected double")
+    both = grid.join(expected, ["rank", "reg_param"])
+    least = grid.agg(F.min("avg_rmse")).scalar()
+    return both.select(
+        "rank",
+        "reg_param",
+        "max_iter",
+        (F.abs(F.col("avg_rmse") - F.col("expected")) < 1e-4).alias("as_folds"),
+        (F.col("is_best") == (F.col("avg_rmse") == least)).alias("best_is_least"),
+    )
+
+
+def _answers(answers: DataFrame, lists: str) -> DataFrame:
+    """Entries of nested answers as rows."""
+    return answers.select("*", F.posexplode(lists).alias("position", "entry")).select(
+        *(name for name in answers.columns if name != lists), "position", "entry.*"
+    )
+
+
+def _recommend_answers(spark, folder) -> DataFrame:
+    return _answers(payloads.recommend_answers(_everyone(spark, folder, True)), "recommendations")
+
+
+def _similar_answers(spark, folder) -> DataFrame:
+    answers = payloads.similar_answers(_all_similar(spark, folder))
+    entries = F.transform("similar_movies", lambda e: e.withField("movie_id_1", e["movie_id"]).dropFields("movie_id"))
+    return _answers(answers.withColumn("similar_movies", entries), "similar_movies")
+
+
+def _stats_answer(spark, folder) -> DataFrame:
+    return payloads.stats_answer(_service_stats(spark, folder)).select("dataset.*", "model.*")
+
+
+def _lookup_one(spark, folder) -> DataFrame:
+    found = lookup.catalog_lookup(tables.catalog(spark, folder), MOVIE_ID)
+    return found.select("movie_id", S.TITLE, F.posexplode(S.GENRES).alias("position", "genre"))
+
+
+SMALL_SLICE = 16 * 1024  # so many bytes of items a task that the grid has several columns
+
+
+def _in_columns(spark, folder, cosine: bool) -> DataFrame:
+    """The search over all pairs with several columns, whose lists are merged."""
+    users = tables.item_factors(spark, folder) if cosine else tables.user_factors(spark, folder)
+    items = lookup.in_catalog(tables.item_factors(spark, folder), tables.catalog(spark, folder))
+    seen = None if cosine else tables.ratings(spark, folder)
+    found = top_n(users, items, TOP_N, seen, cosine, skip_self=cosine, slice_bytes=SMALL_SLICE)
+    return _rounded(found, "score")
+
+
+def _random_split(spark, folder) -> DataFrame:
+    """Whether both sides of a random split add up, without a common or a lost row."""
+    ratings = tables.ratings(spark, folder)
+    train, test = splitting.split_holdout(ratings, method="random")
+    sides = train.withColumn("side", F.lit(1)).unionByName(test.withColumn("side", F.lit(0)))
+    return sides.agg(
+        F.count("*").alias("n"),
+        (F.abs(F.avg("side") - 0.8) < 0.05).alias("near_share"),
+        F.sum(F.xxhash64(*ratings.columns).cast("decimal(38,0)")).alias("digest"),
+    ).select(
+        "n",
+        "near_share",
+        (
+            F.col("digest")
+            == ratings.agg(F.sum(F.xxhash64(*ratings.columns).cast("decimal(38,0)"))).scalar()
+        ).alias("same_rows"),
+    )
 
 
 def _model_roundtrip(spark, folder) -> DataFrame:
@@ -349,6 +481,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "als_recommend_all_unseen": _als_recommend_all_unseen,
         "als_similar_items": _als_similar_items,
         "als_tune": _als_tune,
+        "recommend_answers": _recommend_answers,
+        "similar_answers": _similar_answers,
+        "stats_answer": _stats_answer,
+        "catalog_lookup_one": _lookup_one,
+        "recommend_in_columns": lambda s, d: _in_columns(s, d, False),
+        "similar_in_columns": lambda s, d: _in_columns(s, d, True),
+        "random_split": _random_split,
         **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
@@ -405,6 +544,11 @@ known_test AS (SELECT * FROM split_ratings WHERE split = 'test'
 
 
 _ALS = _COMMON + _cleaned_sql("SELECT * FROM ratings")
+_TRAINED = """,
+users AS (SELECT DISTINCT "userId" FROM split_ratings WHERE split = 'train'),
+items AS (SELECT DISTINCT "movieId" FROM split_ratings WHERE split = 'train'
+          AND "movieId" IN (SELECT "movieId" FROM catalog))
+"""
 
 
 def _ranked_sql(unseen_only: bool) -> str:
@@ -528,13 +672,68 @@ def oracle_sql() -> dict[str, str]:
                    true AS is_solution
             FROM split_ratings WHERE split = 'train' GROUP BY 1""",
         "als_item_factors": f"""{_ALS}
-            SELECT DISTINCT "movieId", CAST({CLEANING.rank} AS INT) AS rank
-            FROM split_ratings WHERE split = 'train' """,
+            SELECT "movieId", count(*) AS n, CAST({CLEANING.rank} AS INT) AS rank,
+                   true AS is_solution
+            FROM split_ratings WHERE split = 'train' GROUP BY 1""",
         "als_predict": f"""{_ALS}
             SELECT "userId", "movieId", rating, true AS as_mllib FROM known_test""",
         "als_evaluate_as_mllib": f"""{_ALS}
             SELECT (SELECT count(*) FROM known_test) AS n_scored, count(*) AS n_total,
                    true AS as_mllib FROM split_ratings WHERE split = 'test' """,
+        "als_evaluate": f"""{_ALS}
+            SELECT (SELECT count(*) FROM known_test) AS n_scored, count(*) AS n_total,
+                   true AS exact FROM split_ratings WHERE split = 'test' """,
+        "als_top_n_for_user": f"""{_ALS} {_TRAINED}
+            SELECT CAST(unnest(range(1, 1 + least({TOP_N}, (
+                       SELECT count(*) FROM items WHERE "movieId" NOT IN ({history}))))) AS INT) AS rank,
+                   true AS exact
+            FROM users WHERE "userId" = {USER_ID}""",
+        "als_recommend_all": f"""{_ALS} {_TRAINED}
+            SELECT "userId", CAST(unnest(range(1, 1 + least({TOP_N}, (SELECT count(*) FROM items))))
+                   AS INT) AS rank, true AS exact FROM users""",
+        "als_recommend_all_unseen": f"""{_ALS} {_TRAINED},
+            rated AS (SELECT "userId", count(DISTINCT "movieId") AS n FROM ratings
+                      WHERE "movieId" IN (SELECT "movieId" FROM items) GROUP BY 1)
+            SELECT "userId", CAST(unnest(range(1, 1 + least({TOP_N},
+                       (SELECT count(*) FROM items) - coalesce(n, 0)))) AS INT) AS rank, true AS exact
+            FROM users LEFT JOIN rated USING ("userId")""",
+        "als_similar_items": f"""{_ALS} {_TRAINED}
+            SELECT CAST(unnest(range(1, 1 + least({TOP_N}, (SELECT count(*) FROM items) - 1))) AS INT)
+                   AS rank, true AS exact
+            FROM items WHERE "movieId" = {MOVIE_ID}""",
+        "als_tune": f"""
+            SELECT CAST(rank AS INT) AS rank, CAST(reg_param AS DOUBLE) AS reg_param,
+                   CAST(3 AS INT) AS max_iter, true AS as_folds, true AS best_is_least
+            FROM unnest({list(TUNED["ranks"])}) r(rank), unnest({list(TUNED["reg_params"])}) p(reg_param)""",
+        "recommend_answers": f"""{_COMMON}
+            SELECT "userId" AS user_id, CAST(count(*) OVER (PARTITION BY "userId") AS INT) AS count,
+                   CAST(rank - 1 AS INT) AS position, "movieId" AS movie_id, title, genres,
+                   round(score, 3) AS predicted_rating
+            FROM ({_ranked_sql(True)}) JOIN catalog USING ("movieId")""",
+        "similar_answers": f"""{_COMMON}
+            SELECT target_id AS movie_id, CAST(count(*) OVER (PARTITION BY target_id) AS INT) AS count,
+                   CAST(rank - 1 AS INT) AS position, "movieId" AS movie_id_1, title, genres,
+                   round(score, 4) AS similarity
+            FROM ({_NEAREST}) JOIN catalog USING ("movieId")""",
+        "stats_answer": f"""{_COMMON}
+            SELECT count(*) AS ratings, count(DISTINCT "userId") AS users,
+                   (SELECT count(*) FROM catalog) AS movies,
+                   'ALS (Alternating Least Squares)' AS algorithm,
+                   CAST({CLEANING.rank} AS INT) AS rank, 'Apache Spark MLlib' AS framework
+            FROM ratings""",
+        "catalog_lookup_one": f"""{_COMMON}
+            SELECT "movieId" AS movie_id, title,
+                   CAST(unnest(range(len(string_split(genres, '|')))) AS INT) AS position,
+                   unnest(string_split(genres, '|')) AS genre
+            FROM catalog WHERE "movieId" = {MOVIE_ID}""",
+        "recommend_in_columns": f"""{_COMMON}
+            SELECT "userId" AS "left", "movieId" AS "right", round(score, 6) AS score,
+                   CAST(rank AS INT) AS rank FROM ({_ranked_sql(True)})""",
+        "similar_in_columns": f"""{_COMMON}
+            SELECT target_id AS "left", "movieId" AS "right", round(score, 6) AS score,
+                   CAST(rank AS INT) AS rank FROM ({_NEAREST})""",
+        "random_split": f"""{_COMMON}
+            SELECT count(*) AS n, true AS near_share, true AS same_rows FROM ratings""",
         "als_recommend_all_as_mllib": f"""{_ALS},
             trained_items AS (SELECT DISTINCT "movieId" FROM split_ratings WHERE split = 'train')
             SELECT "userId", (SELECT least({TOP_N}, count(*)) FROM trained_items) AS n,

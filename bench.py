@@ -81,7 +81,7 @@ def main() -> None:
     times |= {
         "als_evaluate": timed(lambda: run(factorize.evaluate(model, latest))),
         "top_n_for_user": timed(
-            lambda: run(recommend.top_n_for_user(latest, catalog, users, items, 1))
+            lambda: run(recommend.top_n_for_user(latest, catalog, users, items, 1, rank=RANK))
         ),
         "recommend_all_users": timed(
             lambda: run(recommend.recommend_all_users(users, items, catalog))
@@ -89,7 +89,7 @@ def main() -> None:
         "recommend_all_users_unseen": timed(
             lambda: run(recommend.recommend_all_users(users, items, catalog, seen=latest))
         ),
-        "similar_items": timed(lambda: run(similar.similar_items(items, catalog, 1))),
+        "similar_items": timed(lambda: run(similar.similar_items(items, catalog, 1, rank=RANK))),
         "similar_items_all": timed(lambda: run(similar.similar_items_all(items, catalog))),
     }
     spark.stop()
