@@ -175,7 +175,65 @@ FROM sizes s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source
 LEFT JOIN edges e ON s.source IS NOT DISTINCT FROM e.source
 """
 
+# Components by following links from every document.
+_OP3 = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS i FROM texts)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM common o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * o.n >= 85 * (x.n + y.n - o.n)),
+reached AS (
+    SELECT doc_id, doc_id AS root FROM documents
+    UNION
+    SELECT b, root FROM reached JOIN links ON a = doc_id),
+found AS (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+       doc_id = component_id AS kept
+FROM texts JOIN found USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+# Windows by their digest; runs of covered bytes; the bytes between them.
+_OP8 = r"""
+WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(t[i + 1 : i + 200]) AS digest
+    FROM (SELECT doc_id, t, unnest(range(octet_length(t) - 199)) AS i
+          FROM texts WHERE octet_length(t) >= 200)),
+repeated AS (SELECT digest FROM windows GROUP BY 1 HAVING count(*) > 1),
+marked AS (
+    SELECT doc_id, i, i > 200 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS opens
+    FROM windows SEMI JOIN repeated USING (digest)),
+runs AS (
+    SELECT doc_id, min(i) AS start, max(i) + 200 AS stop
+    FROM (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked)
+    GROUP BY doc_id, run),
+edges AS (
+    SELECT doc_id, start, stop,
+           coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS since FROM runs
+    UNION ALL
+    SELECT doc_id, octet_length(t), NULL, coalesce(last_stop, 0)
+    FROM texts LEFT JOIN (SELECT doc_id, max(stop) AS last_stop FROM runs GROUP BY 1) USING (doc_id)),
+kept AS (
+    SELECT doc_id, coalesce(sum(stop - start), 0) AS n_removed, count(stop) AS n_spans,
+           unhex(string_agg(CASE WHEN start > since THEN hex(t[since + 1 : start]) ELSE '' END, ''
+                            ORDER BY start)) AS bytes
+    FROM edges JOIN texts USING (doc_id) GROUP BY 1)
+SELECT doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed,
+       CAST(n_spans AS BIGINT) AS n_spans, sha256(bytes) AS kept_sha256
+FROM texts JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_minhash_neardup": _OP3,
     "op5_decontamination": _OP5,
     "op6_source_mix": _OP6,
+    "op8_suffix_dedup": _OP8,
 }
