@@ -8,10 +8,10 @@ characters it stands for. Spans found in the normalised text are
 mapped back by that. One that overlaps a plain finding of its kind, or contains no
 rewritten part, adds nothing.
 
-Steps: compatibility forms and look-alike letters become ASCII, invisible characters
-go; "at" and "dot" in brackets, or as words between names and in a chain that
-ends with a "dot", become signs; three or more digits in a row, some of them
-spelled, become figures, "plus" before them a sign.
+Steps: compatibility forms, look-alike letters and digits of other scripts become
+ASCII, invisible characters go; "at" and "dot" in brackets, or as words where only an
+address has them, become signs; three or more digits in a row, some of them
+spelled, become figures, and "plus" and "dot" with them signs.
 
 Defined results: a null or empty text has no findings; repeated rows are
 judged alike; other columns are not read. Offsets are code points. All patterns run
@@ -37,8 +37,8 @@ KINDS = ("email", "ip", "card", "phone")
 # Letters of other scripts that look like ASCII ones.
 LOOK_ALIKE = dict(
     zip(
-        "АВЕКМНОРСТХУаеорсухіјѕԁһԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧαονρ․‐‑‒–—−∙·",
-        "ABEKMHOPCTXYaeopcyxijsdhqwABEZHIKMNOPTYXaovp.------..",
+        "АВЕКМНОРСТХУаеорсухіјѕԁһԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧαονρ․‐‑‒–—−∙·。",
+        "ABEKMHOPCTXYaeopcyxijsdhqwABEZHIKMNOPTYXaovp.------...",
     )
 )
 INVISIBLE = "­​‌‍⁠﻿"
@@ -63,15 +63,22 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-_BRACKETS = re.compile(r"[\[({<] ?(?i:(at|arroba)|(dot|punkt|point|punto)) ?[\])}>]")
+_BRACKETS = re.compile(r"[\[({<] ?(?i:(at|arroba|@)|(dot|punkt|point|punto|\.)) ?[\])}>]")
+# Spoken signs: between names in a chain that ends with a "dot", after a real "at" sign, or after a
+# name that only an address would have.
 _SPOKEN = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+( at )[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+", re.IGNORECASE
+    r"(?<![A-Za-z0-9._%+-])(?:"
+    r"[A-Za-z0-9._%+-]+( at |@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?: dot [A-Za-z0-9-]+)+"
+    r"|[A-Za-z0-9]+[._][A-Za-z0-9._%+-]*( at )[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)",
+    re.IGNORECASE,
 )
+_AT_DOMAIN = re.compile(r" at [a-z0-9-]+\.[a-z0-9]")
 _DOT = re.compile(" dot ", re.IGNORECASE)
 _NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
-_SPELLED_WORD = re.compile(rf"\b(?:{_NUMBER})\b", re.IGNORECASE)
+_SPELLED_WORD = re.compile(rf"(?<!\w)({_NUMBER})(?!\w)([ -](?=(?:{_NUMBER})(?!\w)))?|( dot )", re.IGNORECASE)
 _SPELLED_RUN = re.compile(
-    rf"(?:\b(plus) )?(?<!\w)(?:{_NUMBER}|[0-9])(?:[ -]?(?:(?<!\w)(?:{_NUMBER})(?!\w)|[0-9])){{2,}}(?!\w)",
+    rf"(?:\b(plus) )?(?<!\w)(?:{_NUMBER}|[0-9])"
+    rf"(?:(?: dot |[ -]?)(?:(?<!\w)(?:{_NUMBER})(?!\w)|[0-9])){{2,}}(?!\w)",
     re.IGNORECASE,
 )
 
@@ -182,6 +189,8 @@ def _characters() -> dict[str, str]:
     table = {c: "" for c in INVISIBLE} | LOOK_ALIKE
     for code in range(0x80, 0x20000):
         new = unicodedata.normalize("NFKC", chr(code))
+        if unicodedata.category(chr(code)) == "Nd":
+            new = str(unicodedata.digit(chr(code)))
         if len(new) == 1 and new.isascii() and new.isprintable():
             table.setdefault(chr(code), new)
     return table
@@ -206,12 +215,11 @@ def _has_spelled_run(lowered: str) -> bool:
 
 
 def _spell(match: re.Match) -> list[tuple[int, int, str]]:
-    edits = [(*match.span(1), "+")] if match[1] else []
-    if edits:  # "plus" and the space after it
-        edits = [(match.start(1), match.end(1) + 1, "+")]
+    """Figures for spelled digits, without what parts two of them; signs for "plus" and "dot"."""
     first = match.end(1) + 1 if match[1] else match.start()
+    edits = [(match.start(1), first, "+")] if match[1] else []
     for word in _SPELLED_WORD.finditer(match.string, first, match.end()):
-        edits.append((*word.span(), SPELLED[word[0].lower()]))
+        edits.append((*word.span(), SPELLED[word[1].lower()] if word[1] else "."))
     return edits
 
 
@@ -229,11 +237,13 @@ def normalised(text: str) -> Mapped | None:
         start = max(start, edits[-1][1]) if edits else start
         edits.append((start, end, "@" if m[1] else "."))
     mapped = mapped.rewrite(edits) if edits else mapped
-    if " dot " in lowered and " at " in lowered:
+    spoken = " dot " in lowered and (" at " in lowered or "@" in mapped.text)
+    if spoken or _AT_DOMAIN.search(lowered):
         edits = []
         for m in _SPOKEN.finditer(mapped.text):
-            edits.append((*m.span(1), "@"))
-            edits += [(*d.span(), ".") for d in _DOT.finditer(mapped.text, m.end(1), m.end())]
+            start, end = m.span(1) if m[1] else m.span(2)
+            edits += [(start, end, "@")] if end - start > 1 else []
+            edits += [(*d.span(), ".") for d in _DOT.finditer(mapped.text, end, m.end())]
         mapped = mapped.rewrite(edits) if edits else mapped
     if _has_spelled_run(lowered):
         edits = [edit for m in _SPELLED_RUN.finditer(mapped.text) for edit in _spell(m)]

@@ -194,12 +194,16 @@ def test_personal_data():
             "plus four nine one seven six five five five one two three"
         ),
         "é １９２.168.0.1": "１９２.168.0.1",
+        "192[.]168[.]0[.]1": "192[.]168[.]0[.]1",
+        "one nine two dot one six eight dot zero dot one": "one nine two dot one six eight dot zero dot one",
+        "jane.doe at example.com": "jane.doe at example.com",
+        "BOB@example DOT com": "BOB@example DOT com",
     }
     for text, expected in hidden.items():
         (found,) = pii.disguised(text, pii.plain(text))
         assert text[found[1] : found[2]] == expected
         assert expected not in pii.masked(text)
-    for text in ("we met at noon", "one of two or three six times", "at home dot com"):
+    for text in ("we met at noon", "one of two or three six times", "at home dot com", "meet at example.com"):
         assert pii.disguised(text, []) == []
 
 
