@@ -358,14 +358,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide
         raise ValueError("length must be a multiple of eight, and a gram must fit into it")
     texts = _texts(docs)
     pieces = texts.where(F.col("n_bytes") >= length).mapInArrow(_pieces(length, gram), _PIECES)
-    pieces = pieces.repartition("key")  # one shuffle for the aggregate and the join
+    # Documents are read twice, so that counts are reduced before their shuffle and a key that a
+    # third of them have is split by the join.
     keys = pieces.groupBy("key").agg(
         F.count("*").alias("n"),
         F.bool_or("folds").alias("any_folds"),
         (F.min("digest") == F.max("digest")).alias("same"),
     )
     keys = keys.where("n > 1 OR any_folds").select("key", (F.col("same") & ~F.col("any_folds")).alias("same"))
-    shared = written(pieces.join(keys, "key").drop("folds"), "pieces")
+    shared = written(pieces.join(written(keys, "keys"), "key").drop("folds"), "pieces")
 
     mixed = shared.where("NOT same").groupBy("key", "digest").agg(
         F.min(F.struct("text_id", "n_bytes", "start", "windows")).alias("x"), F.count("*").alias("n")
