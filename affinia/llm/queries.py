@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from affinia.llm import decontam, language, mixing, neardup, pii, quality, simhash, suffixdup
 from affinia.llm import toxicity, urls
+from affinia.sources.workspace import written
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +58,12 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.edited_fingerprints(_documents(spark, folder))
 
 
+def simhash_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents within three bits of every document whose id is divisible by 100."""
+    prints = written(simhash.fingerprints(_documents(spark, folder)), "fingerprints")
+    return simhash.neighbours(prints.where("doc_id % 100 = 0"), prints, 3)
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixdup.without_repeats(_documents(spark, folder)).drop("spans")
 
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_source_mix": op6_source_mix,
     "op7_simhash": op7_simhash,
+    "simhash_neighbours": simhash_neighbours,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_urls": op9_urls,
     "op10_pii": op10_pii,

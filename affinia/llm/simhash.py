@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm.arrays import NOT_SPACE, U64, mix, slices, span_hashes, utf8, words
+from affinia.sources.workspace import written
 
 BITS = 128
 _HALVES = BITS // 64
@@ -121,6 +122,26 @@ def within_radius(queries: DataFrame, stored: DataFrame, radius: int, agreeing:
     return pairs.where(F.col("distance") <= radius)
 
 
+def neighbours(queries: DataFrame, stored: DataFrame, radius: int) -> DataFrame:
+    """For each query document: how many fingerprints, and documents with them, are within the radius.
+
+    Both tables have doc_id and fingerprint. A query among the stored documents counts itself.
+    """
+    sizes = written(stored.groupBy("fingerprint").agg(F.count("*").alias("n")), "sizes")
+    pairs = within_radius(queries, sizes, radius)
+    found = pairs.join(sizes, "fingerprint").groupBy("query").agg(
+        F.count("*").alias("n_fingerprints"), F.sum("n").alias("n_documents")
+    )
+    found = written(found.withColumnRenamed("query", "fingerprint"), "neighbours")
+    none = F.lit(0).cast("long")
+    return queries.join(found, "fingerprint", "left").select(
+        "doc_id",
+        "fingerprint",
+        F.coalesce("n_fingerprints", none).alias("n_fingerprints"),
+        F.coalesce("n_documents", none).alias("n_documents"),
+    )
+
+
 _EDITED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double"
