@@ -88,3 +88,23 @@ def test_pipeline_stages_on_empty_tables(spark, tmp_path, odd_docs, labels_of, b
     none = odd_docs.limit(0)
     _write(spark, tmp_path, documents=none, labels=labels_of([]), benchmark=benchmark_of([]))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rules_for_urls(spark):
+    expected = {
+        "https://shop.example.com/en/1": ("example.com/en/", "block"),
+        "https://www.example.com/en/1": ("www.example.com/en/", "allow"),
+        "http://a.www.EXAMPLE.com/en/?q#f": ("www.example.com/en/", "allow"),
+        "http://example.com/de/": ("com/", "allow"),
+        "http://x.net/es/": ("net/es/", "block"),
+        "http://net/fr/1": ("net/fr/", "block"),
+        "http://xnet/fr/1": (None, None),
+        "http://a.com": (None, None),
+        "http://a.com?/en/": (None, None),
+    }
+    pages = spark.createDataFrame(list(enumerate(expected)), "page_id long, url string")
+    found = urls.verdicts(pages).orderBy("page_id").collect()
+    for row, (rule, verdict) in zip(found, expected.values()):
+        assert row["rule"] == rule and (verdict is None or row["verdict"] == verdict)
+    casino = spark.createDataFrame([(1, "http://best-casino-slots.org/x"), (2, "http://city-museum.org/x")], "page_id long, url string")
+    assert [r["verdict"] for r in urls.verdicts(casino).orderBy("page_id").collect()] == ["block", "allow"]
