@@ -10,8 +10,8 @@ rewritten part, adds nothing.
 
 Steps: compatibility forms, look-alike letters and digits of other scripts become
 ASCII, invisible characters go; "at" and "dot" in brackets, or as words where only an
-address has them, become signs; three or more digits in a row, some of them
-spelled, become figures, and "plus" and "dot" with them signs.
+address has them, become signs; in three or more digits in a row, spelled ones
+become figures, "plus" before and "dot" between them signs.
 
 Defined results: a null or empty text has no findings; repeated rows are
 judged alike; other columns are not read. Offsets are code points. All patterns run
@@ -56,6 +56,7 @@ SPELLED = {
 }
 
 _DIGIT = re.compile("[0-9]")
+_FIGURES = frozenset("0123456789")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A match of these begins where a run of digits does, so runs are read once.
@@ -78,7 +79,7 @@ _NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
 _SPELLED_WORD = re.compile(rf"(?<!\w)({_NUMBER})(?!\w)([ -](?=(?:{_NUMBER})(?!\w)))?|( dot )", re.IGNORECASE)
 _SPELLED_RUN = re.compile(
     rf"(?:\b(plus) )?(?<!\w)(?:{_NUMBER}|[0-9])"
-    rf"(?:(?: dot |[ -]?)(?:(?<!\w)(?:{_NUMBER})(?!\w)|[0-9])){{2,}}(?!\w)",
+    rf"(?:(?: dot |[ .-]?)(?:(?<!\w)(?:{_NUMBER})(?!\w)|[0-9])){{2,}}(?!\w)",
     re.IGNORECASE,
 )
 
@@ -196,21 +197,32 @@ def _characters() -> dict[str, str]:
     return table
 
 
-_MARKS = "-.,;:!?()\"'"
+_WORD = re.compile(r"\w+")
+_SPOKEN_WORDS = frozenset(SPELLED) | {"dot", "plus"}
 
 
-def _has_spelled_run(lowered: str) -> bool:
-    """Whether a spelled digit stands next to another digit; quick, and never wrongly false."""
-    for mark in _MARKS:
-        lowered = lowered.replace(mark, " ")
-    tokens = lowered.split()
-    if SPELLED.keys().isdisjoint(tokens):
+def _folded(text: str) -> str:
+    """In lower case as patterns that ignore case see it: their "i" matches two further letters."""
+    return text.replace("İ", "i").replace("ı", "i").lower()
+
+
+def _has_spelled_run(text: str) -> bool:
+    """Whether ``_SPELLED_RUN`` may find something to rewrite; quick, and never wrongly false.
+
+    A run consists of whole words that are spelled digits or end in a figure, with "dot" between two of
+    them or "plus" before the first. A spelled digit in it has another of these words beside it.
+    """
+    words = _WORD.findall(_folded(text))
+    if _SPOKEN_WORDS.isdisjoint(words):
         return False
-    spelled = [token in SPELLED for token in tokens]
-    for i in range(len(tokens) - 1):
-        if spelled[i] or spelled[i + 1]:
-            if all(spelled[j] or _DIGIT.search(tokens[j]) for j in (i, i + 1)):
-                return True
+    words += ["", ""]
+    is_digit = lambda word: word in SPELLED or word[-1:] in _FIGURES
+    for i, word in enumerate(words):
+        if word in _SPOKEN_WORDS and (
+            is_digit(words[i + 1]) and (word != "dot" or is_digit(words[i - 1]))
+            or word in SPELLED and is_digit(words[i - 1])
+        ):
+            return True
     return False
 
 
@@ -219,7 +231,7 @@ def _spell(match: re.Match) -> list[tuple[int, int, str]]:
     first = match.end(1) + 1 if match[1] else match.start()
     edits = [(match.start(1), first, "+")] if match[1] else []
     for word in _SPELLED_WORD.finditer(match.string, first, match.end()):
-        edits.append((*word.span(), SPELLED[word[1].lower()] if word[1] else "."))
+        edits.append((*word.span(), SPELLED[_folded(word[1])] if word[1] else "."))
     return edits
 
 
@@ -245,7 +257,7 @@ def normalised(text: str) -> Mapped | None:
             edits += [(start, end, "@")] if end - start > 1 else []
             edits += [(*d.span(), ".") for d in _DOT.finditer(mapped.text, end, m.end())]
         mapped = mapped.rewrite(edits) if edits else mapped
-    if _has_spelled_run(lowered):
+    if _has_spelled_run(mapped.text):
         edits = [edit for m in _SPELLED_RUN.finditer(mapped.text) for edit in _spell(m)]
         mapped = mapped.rewrite(edits) if edits else mapped
     return mapped if mapped.parts else None

@@ -210,6 +210,36 @@ def test_personal_data():
         assert pii.disguised(text, []) == []
 
 
+def test_spoken_signs_without_adjacent_spelled_digits():
+    hidden = {
+        "host is 192 dot 168 dot 1 dot 10": ("ip", "192 dot 168 dot 1 dot 10"),
+        "eight dot eight dot eight dot eight": ("ip", "eight dot eight dot eight dot eight"),
+        "at one nine two.168.zero.one now": ("ip", "one nine two.168.zero.one"),
+        "one[dot]two[dot]three[dot]four": ("ip", "one[dot]two[dot]three[dot]four"),
+        "call plus 49 176 5551 2345": ("phone", "plus 49 176 5551 2345"),
+    }
+    for text, (kind, expected) in hidden.items():
+        ((found, start, end),) = pii.disguised(text, pii.plain(text))
+        assert (found, text[start:end]) == (kind, expected)
+        assert expected not in pii.masked(text)
+    assert pii.normalised("five five fıve fİve").text == "5555"
+    for text in ("plus 3 dot 5", "one dot two dot three", "plus one two three", "3 plus 4 dot 5"):
+        assert pii.disguised(text, []) == []
+
+
+def test_the_gate_passes_all_that_spelled_runs_would_rewrite():
+    rng = random.Random(11)
+    words = ["one", "Sıx", "ZÉRO", "7", "42", "dot", "plus", "Dot", "one2", "x", "a1", "3b", "é", "_"]
+    signs = [" ", " ", " ", " ", "-", ".", "", "/", ", ", "(", " dot ", "\n"]
+    rewritten = 0
+    for _ in range(50_000):
+        text = "".join(rng.choice(words) + rng.choice(signs) for _ in range(rng.randrange(2, 8)))
+        edits = [edit for m in pii._SPELLED_RUN.finditer(text) for edit in pii._spell(m)]
+        rewritten += bool(edits)
+        assert pii._has_spelled_run(text) or not edits, text
+    assert rewritten > 5_000
+
+
 def test_rewriting_keeps_the_source():
     rng = random.Random(1)
     for _ in range(200):
