@@ -1,7 +1,7 @@
 """Toxic passages by maximum-scoring segment search over token log-odds.
 
 1. For every token and for its beginnings (``PREFIXES``): in how many documents of
-   each label it occurs, and how often in the whole corpus. The two label counts
+   each label it occurs, and for those that matter how often in the whole corpus. The two label counts
    are compared as log-odds with a Dirichlet prior that is proportional to the
    corpus counts. A word takes the log-odds of the longest form whose counts
    deviate by ``LEAST_DEVIANCE`` from those of equal shares, so inflected and
@@ -14,9 +14,9 @@
    the best segments of a document gives its evidence, and a
    logistic curve of the evidence its probability.
 
-Tokens are hashed to ``BUCKETS`` counters, so the model has a fixed size.
-Corpus counts cover all documents. Labels are learned from at most
-``sample_rows`` labelled rows.
+Tokens are counted by their 64-bit hash. Only those whose label counts deviate are
+collected, so the model is bounded by the label sample. Corpus counts
+cover all documents. Labels are learned from at most ``sample_rows`` labelled rows.
 
 Defined results: a null or empty text has no token, no passage and the score
 of no evidence; without a label of each kind nothing is evidence and
@@ -30,7 +30,7 @@ from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm.arrays import ALPHANUMERIC, U64, distinct_sorted, mix, slices, span_hashes, words
@@ -38,8 +38,7 @@ from affinia.llm.labelled import in_fold, label_sample, labelled_texts
 
 FOLDS, HELD_OUT = 5, 0
 SAMPLE_ROWS = 30_000
-BUCKET_BITS = 18
-BUCKETS = 1 << BUCKET_BITS
+FILTER_BITS = 18  # of a hash; most tokens are known by them not to be in the model
 PRIOR = 20.0  # documents of each label that the prior is worth
 LEAST_PRIOR = 0.5  # documents, of each token
 LEAST_DEVIANCE = 25.0  # of the likelihood ratio test, as for five standard deviations
@@ -56,7 +55,8 @@ _SCORED = (
 
 @dataclass(frozen=True)
 class Model:
-    odds: np.ndarray  # log-odds of each token bucket, zero if not significant
+    tokens: np.ndarray  # hashes of the significant tokens, ascending
+    odds: np.ndarray  # their log-odds
     drift: float
     rate: float  # lambda
     log_k: float
@@ -70,44 +70,91 @@ def _tokens(data: np.ndarray, offsets: np.ndarray):
     for level, length in enumerate(PREFIXES, 1):
         prefix = span_hashes(data, starts, np.minimum(ends, starts + length), lower=True)
         forms.append(mix(prefix + U64(level)))
-    return starts, ends, before, [(h >> U64(64 - BUCKET_BITS)).astype(np.int32) for h in forms]
+    return starts, ends, before, forms
 
 
-def _token_scores(forms: list[np.ndarray], model: "Model") -> np.ndarray:
-    scores = model.odds[forms[0]]
-    for form in forms[1:]:
-        scores = np.where(scores == 0, model.odds[form], scores)
+def _finder(tokens: np.ndarray):
+    """A function from hashes to the positions of those among ``tokens``, and their places there."""
+    shift = U64(64 - FILTER_BITS)
+    may_be = np.zeros(1 << FILTER_BITS, bool)
+    may_be[(tokens >> shift).astype(np.int32)] = True
+
+    def find(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(may_be[(hashes >> shift).astype(np.int32)])
+        place = np.searchsorted(tokens, hashes[at])
+        known = place < len(tokens)
+        known[known] = tokens[place[known]] == hashes[at[known]]
+        return at[known], place[known]
+
+    return find
+
+
+def _token_scores(forms: list[np.ndarray], model: "Model", find) -> np.ndarray:
+    scores = np.zeros(len(forms[0]))
+    for form in forms:
+        at, place = find(form)
+        new = scores[at] == 0
+        scores[at[new]] = model.odds[place[new]]
     return scores - model.drift
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counters of one task: tokens of all documents, documents of label 0 and 1."""
-    counts = np.zeros((3, BUCKETS), np.int64)
+def _count_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each token of a slice the documents of label 0 and 1."""
     for part, data, offsets in slices(batches):
         _, _, before, forms = _tokens(data, offsets)
-        for tokens in forms:
-            counts[0] += np.bincount(tokens, minlength=BUCKETS)
-        labels = part.column("label").to_pylist()
-        for label, begin, end in zip(labels, before[:-1], before[1:]):
-            if label is not None:
-                seen = distinct_sorted(np.concatenate([x[begin:end] for x in forms]))
-                counts[1 + label][seen] += 1
-    used = np.flatnonzero(counts[0])
-    columns = [pa.array(used), *(pa.array(row[used]) for row in counts)]
-    yield pa.RecordBatch.from_arrays(columns, names=["bucket", "n", "n0", "n1"])
-
-
-def _log_odds(counts: np.ndarray, clean: int, toxic: int) -> np.ndarray:
-    n, n0, n1 = counts.astype(float)
-    prior = np.maximum(PRIOR * (n + 1) / (n.sum() + BUCKETS), LEAST_PRIOR)
-    odds = np.log((n1 + prior) / (toxic + PRIOR)) - np.log((n0 + prior) / (clean + PRIOR))
+        seen = [
+            distinct_sorted(np.concatenate([x[begin:end] for x in forms]))
+            for begin, end in zip(before[:-1], before[1:])
+        ]
+        labels = np.repeat(part.column("label").to_numpy(), [len(x) for x in seen])
+        tokens, which = np.unique(np.concatenate(seen), return_inverse=True)
+        counts = [np.bincount(which[labels == label], minlength=len(tokens)) for label in (0, 1)]
+        columns = [pa.array(tokens.view(np.int64)), *(pa.array(n, pa.int64()) for n in counts)]
+        yield pa.RecordBatch.from_arrays(columns, names=["token", "n0", "n1"])
+
+
+def _deviance(clean: int, toxic: int) -> Column:
+    """Likelihood ratio of the label counts n0 and n1 against equal shares."""
     share = toxic / (toxic + clean)
-    usual1, usual0 = (n0 + n1) * share, (n0 + n1) * (1 - share)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        deviance = 2 * (
-            np.where(n1 > 0, n1 * np.log(n1 / usual1), 0) + np.where(n0 > 0, n0 * np.log(n0 / usual0), 0)
-        )
-    return np.where(deviance >= LEAST_DEVIANCE, odds, 0.0)
+    part = lambda n, usual: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / usual)).otherwise(0.0)
+    both = F.col("n0") + F.col("n1")
+    return 2 * (part("n1", both * share) + part("n0", both * (1 - share)))
+
+
+def _count_corpus(tokens: np.ndarray):
+    """How often each of the tokens occurs in the documents of one task, and last all forms of all tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, counts = _finder(tokens), np.zeros(len(tokens) + 1, np.int64)
+        for _, data, offsets in slices(batches):
+            for form in _tokens(data, offsets)[3]:
+                counts[:-1] += np.bincount(find(form)[1], minlength=len(tokens))
+                counts[-1] += len(form)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["place", "n"])
+
+    return run
+
+
+def _log_odds(n: np.ndarray, n0: np.ndarray, n1: np.ndarray, total: int, clean: int, toxic: int) -> np.ndarray:
+    prior = np.maximum(PRIOR * n / max(total, 1), LEAST_PRIOR)
+    return np.log((n1 + prior) / (toxic + PRIOR)) - np.log((n0 + prior) / (clean + PRIOR))
+
+
+def _significant(docs: DataFrame, known: DataFrame, clean: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and log-odds of the tokens whose label counts deviate."""
+    counted = known.mapInArrow(_count_labels, "token long, n0 long, n1 long")
+    counted = counted.groupBy("token").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    found = counted.where(_deviance(clean, toxic) >= LEAST_DEVIANCE).toArrow()
+    tokens = found.column("token").to_numpy().view(U64)
+    order = np.argsort(tokens)
+    tokens = tokens[order]
+    n0, n1 = (found.column(name).to_numpy()[order].astype(float) for name in ("n0", "n1"))
+    in_corpus = docs.select("text").mapInArrow(_count_corpus(tokens), "place long, n long")
+    in_corpus = in_corpus.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(len(tokens) + 1)
+    n[in_corpus.column("place").to_numpy()] = in_corpus.column("n").to_numpy()
+    return tokens, _log_odds(n[:-1], n0, n1, n[-1], clean, toxic)
 
 
 def _rate(scores: np.ndarray, frequencies: np.ndarray) -> float:
@@ -160,10 +207,10 @@ def _evidence(normal: np.ndarray) -> float:
     return best
 
 
-def _segments(data, offsets, model: Model):
+def _segments(data, offsets, model: Model, find):
     """For each document: token count, and its segments as (byte start, byte end, score)."""
     starts, ends, before, forms = _tokens(data, offsets)
-    scores = _token_scores(forms, model)
+    scores = _token_scores(forms, model, find)
     sums = np.concatenate([[0.0], np.cumsum(scores)])
     positive = scores > 0
     edge = np.zeros(len(scores) + 1, bool)
@@ -182,9 +229,10 @@ def _segments(data, offsets, model: Model):
 
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = _finder(model.tokens)
         for part, data, offsets in slices(batches):
             evidence, passages = [], []
-            for row, (count, found) in enumerate(_segments(data, offsets, model)):
+            for row, (count, found) in enumerate(_segments(data, offsets, model, find)):
                 raw = np.array([score for _, _, score in found])
                 normal = model.rate * raw - model.log_k - log(max(count, 1))
                 evidence.append(_evidence(normal))
@@ -215,10 +263,10 @@ def _score_histogram(model: Model):
     """How often each token score occurs, to a hundredth; the model has no drift yet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[float, int] = {}
+        find, counts = _finder(model.tokens), {}
         for _, data, offsets in slices(batches):
             forms = _tokens(data, offsets)[3]
-            scores, n = np.unique(np.round(_token_scores(forms, model), 2), return_counts=True)
+            scores, n = np.unique(np.round(_token_scores(forms, model, find), 2), return_counts=True)
             for x, y in zip(scores.tolist(), n.tolist()):
                 counts[x] = counts.get(x, 0) + y
         columns = [pa.array(list(counts), pa.float64()), pa.array(list(counts.values()), pa.int64())]
@@ -231,9 +279,10 @@ def _best_segments(model: Model):
     """Label, token count and all segment scores of each labelled document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = _finder(model.tokens)
         for part, data, offsets in slices(batches):
             counts, best = [], []
-            for count, found in _segments(data, offsets, model):
+            for count, found in _segments(data, offsets, model, find):
                 counts.append(count)
                 best.append(sorted((score for _, _, score in found), reverse=True)[:64])
             columns = [part.column("doc_id"), part.column("label"), pa.array(counts, pa.int64())]
@@ -260,27 +309,21 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Token scores from all documents and a bounded sample of labels, then the calibration."""
     sample = label_sample(labels, "toxic", FOLDS, HELD_OUT, sample_rows)
-    rows = labelled_texts(docs, sample, "left")
-    counted = rows.mapInArrow(_count, "bucket long, n long, n0 long, n1 long")
-    counted = counted.groupBy("bucket").agg(F.sum("n"), F.sum("n0"), F.sum("n1")).toArrow()
-    counts = np.zeros((3, BUCKETS), np.int64)
-    bucket = counted.column(0).to_numpy()
-    for i in range(3):
-        counts[i, bucket] = counted.column(i + 1).to_numpy()
     known = labelled_texts(docs, sample)
     sizes = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not clean or not toxic:
         share = 1.0 if toxic else 0.0
-        return Model(np.zeros(BUCKETS), DRIFT, 1.0, 0.0, 700.0 if share else -700.0, 0.0)
-    model = Model(_log_odds(counts, clean, toxic), 0.0, 1.0, 0.0, 0.0, 0.0)
+        return Model(np.zeros(0, U64), np.zeros(0), DRIFT, 1.0, 0.0, 700.0 if share else -700.0, 0.0)
+    tokens, odds = _significant(docs, known, clean, toxic)
+    model = Model(tokens, odds, 0.0, 1.0, 0.0, 0.0, 0.0)
     usual = known.where("label = 0").mapInArrow(_score_histogram(model), "score double, n long")
     usual = usual.groupBy("score").agg(F.sum("n").alias("n")).toArrow()
     scores, n = usual.column("score").to_numpy(), usual.column("n").to_numpy()
     frequencies = n / max(n.sum(), 1)
     drift = DRIFT + max(0.0, float(frequencies @ scores))
     rate = _rate(scores - drift, frequencies) if (scores > drift).any() else 1.0
-    model = Model(model.odds, drift, rate, 0.0, 0.0, 0.0)
+    model = Model(tokens, odds, drift, rate, 0.0, 0.0, 0.0)
     schema = "doc_id long, label int, n long, best array<double>"
     found = known.mapInArrow(_best_segments(model), schema)
     # Repeated rows count once, so no more rows come back than the sample has.
@@ -294,7 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     log_k = float(np.median(usual)) + log(log(2)) if len(usual) else -EULER
     x = np.array([_evidence(rate * b - log_k - log(c)) for b, c in zip(best, n)])
     intercept, slope = _logistic(x, label.astype(float))
-    return Model(model.odds, drift, rate, log_k, intercept, slope)
+    return Model(tokens, odds, drift, rate, log_k, intercept, slope)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -305,6 +305,19 @@ def test_classifiers_on_held_out_rows(docs_of, labels_of, prose):
             )
 
 
+def test_clean_words_do_not_hide_a_toxic_one(docs_of, labels_of, prose):
+    # The hash of each clean word begins with the same 18 bits as one of the forms of the toxic word.
+    toxic, clean = "vq", "btba xdfy ksyj uqkh oqnm"
+    hashes = lambda text: toxicity._tokens(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))[3]
+    assert [x[0] >> np.uint64(46) for x in hashes(toxic)] == list(hashes(clean)[0] >> np.uint64(46))
+    rows = [(i, f"{prose(i, 20)} {clean if i % 4 else toxic} {prose(1000 + i, 20)}", None, "a") for i in range(160)]
+    found = toxicity.toxicity(docs_of(rows), labels_of([(i, 1, int(i % 4 == 0)) for i in range(160)])).collect()
+    assert {r["doc_id"] for r in found if r["predicted"]} == {i for i in range(160) if i % 4 == 0}
+    for r in found:
+        text = rows[r["doc_id"]][1]
+        assert r["predicted"] == any(toxic in text[p["start"] : p["end"]] for p in r["passages"])
+
+
 def test_language_of_held_out_rows(docs_of, prose):
     swap = str.maketrans("bklmnrstvz", "pgwxyfdhcq")
     rows = []
