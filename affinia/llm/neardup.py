@@ -16,9 +16,9 @@ give the least values of their union. The steps:
    under the rarest shingles of their full sets instead: prefix and position
    filters are exact, and leave few pairs of a large group of loose copies.
 
-At a similarity of 0.85 a shared value is missed, or a true pair ruled out by
-the estimate, with a probability below one in a million. No partner or
-candidate is capped.
+What sketches must show follows from the similarity asked for: a pair that just has
+it fails one of these tests with a probability below one in a million. No
+partner or candidate is capped.
 
 Defined results: a null or empty text has no shingles and no links; repeated
 rows are links of one component; rows that share a doc_id but not the text
@@ -29,7 +29,7 @@ its component is null and it is kept. Other columns are not read.
 import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
-from math import ceil
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +45,24 @@ SIMILARITY = Fraction(85, 100)
 SKETCH = 48  # values of a sketch
 LISTED = 24  # of them, those with an inverted list
 LONG_LIST = 50  # documents; see step 4
-FEW_SHARED = 9  # of LISTED values: fewer cannot be at this similarity
-MOSTLY_RARE = 14  # of LISTED values outside long lists: partners share one of them
-LEAST_ESTIMATE = 0.55  # of the union sketch
+RISK = 2.5e-7  # of each of four tests: that the values of a pair that is similar fail it
 
 _SKETCH_SCHEMA = "doc_id long, text_id long, n_shingles long, class string, sketch array<long>"
 
 
+def _least_common(values: int, similarity: Fraction) -> int:
+    """How many of so many values two sets of this similarity have in common, but for ``RISK``.
+
+    Each is common with this probability at least, and draws without replacement vary less than these.
+    """
+    s, below = float(similarity), 0.0
+    for n in range(values):
+        below += comb(values, n) * s**n * (1 - s) ** (values - n)
+        if below > RISK:
+            return n
+    return values
+
+
 def _digest(values: np.ndarray) -> str | None:
     """Name of a set, from its distinct values in ascending order."""
     if not len(values):
@@ -118,7 +129,8 @@ def _confirmed(pairs: DataFrame, active: DataFrame, sets: DataFrame, s: Fraction
     both = pairs.join(side(active, "a", "sketch"), "a").join(side(active, "b", "sketch"), "b")
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
     common = F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b"))
-    likely = both.where(F.size(common) >= LEAST_ESTIMATE * F.size(union)).select("a", "b")
+    enough = F.size(common) * SKETCH >= F.size(union) * _least_common(SKETCH, s)
+    likely = both.where(enough).select("a", "b")
     full = written(likely, "likely")
     full = full.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
@@ -137,13 +149,15 @@ def _active(classes: DataFrame, s: Fraction) -> tuple[DataFrame, DataFrame]:
     first = classes.select("rep", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
     entries = written(first.join(shared, "value"), "entries")
     listed = F.least("n_shingles", F.lit(LISTED))
-    enough = F.when(F.col("n_shingles") > LISTED, FEW_SHARED).otherwise(
+    least = _least_common(LISTED, s)
+    enough = F.when(F.col("n_shingles") > LISTED, least).otherwise(
         F.ceil(F.col("n_shingles") * s.numerator / s.denominator)
     )
     counts = entries.groupBy("rep").agg(
         F.count("*").alias("shared"), F.count_if(F.col("df") > LONG_LIST).alias("common")
     )
-    rare_needed = F.ceil(listed * (MOSTLY_RARE / LISTED))
+    # With so many values outside long lists, partners share one of them.
+    rare_needed = F.ceil(listed * (LISTED - least + 1) / LISTED)
     active = classes.join(counts, "rep").where(F.col("shared") >= enough)
     active = active.select(
         "rep",

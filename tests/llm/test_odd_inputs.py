@@ -1,6 +1,7 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
 import sys
+from math import comb
 from pathlib import Path
 
 import pytest
@@ -84,6 +85,23 @@ def test_pipeline_stages(spark, tmp_path, odd_docs, labels_of, benchmark_of):
     assert len([i for i in ids if i == 4]) <= 1
 
 
+def test_the_stage_for_copies_takes_four_fifths(spark, docs_of, prose):
+    rows = []
+    for i in range(0, 60, 2):
+        words = prose(i, 200).split()
+        edited = ["edited" if at in (30, 80, 130, 180) else word for at, word in enumerate(words)]
+        rows += [(i, " ".join(words), "en", "a"), (i + 1, " ".join(edited), "en", "a")]
+    # 176 of 216 shingles are common: 0.81.
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs_of(rows), "").collect()
+    assert sorted(row["doc_id"] for row in kept) == list(range(0, 60, 2))
+    assert all(row["kept"] for row in neardup.near_duplicates(docs_of(rows)).collect())
+    for s in (0.8, 0.85, 0.9):
+        for values in (neardup.LISTED, neardup.SKETCH):
+            least = neardup._least_common(values, s)
+            below = [comb(values, n) * s**n * (1 - s) ** (values - n) for n in range(least + 1)]
+            assert sum(below[:-1]) <= neardup.RISK < sum(below)
+
+
 def test_pipeline_stages_on_empty_tables(spark, tmp_path, odd_docs, labels_of, benchmark_of):
     none = odd_docs.limit(0)
     _write(spark, tmp_path, documents=none, labels=labels_of([]), benchmark=benchmark_of([]))
