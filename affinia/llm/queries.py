@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import decontam, language, mixing, neardup, pii, quality, simhash, suffixdup
-from affinia.llm import toxicity, urls
+from affinia.llm import alignment, decontam, language, mixing, neardup, packing, pii, quality
+from affinia.llm import resampling, simhash, suffixdup, tokens, toxicity, urls
 from affinia.sources.workspace import written
 
 
@@ -88,6 +88,28 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = resampling.resample(_documents(spark, folder), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    first = (tokens.ByteLevel, _vocabulary("byte_bpe_50k.json"))
+    second = (tokens.Pieces, _vocabulary("piece_bpe_32k.model"))
+    return alignment.alignment_digests(_documents(spark, folder), first, second)
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = (tokens.WordEnds, _vocabulary("word_bpe_49k.json"))
+    return packing.piece_digests(packing.pieces(_documents(spark, folder), vocabulary))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
@@ -100,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_urls": op9_urls,
     "op10_pii": op10_pii,
+    "op11_resampling": op11_resampling,
+    "op12_alignment": op12_alignment,
+    "op13_packing": op13_packing,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -239,9 +264,53 @@ SELECT doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes, CAST(n_removed AS BIG
 FROM texts JOIN kept USING (doc_id)
 """
 
+# The checksum of each distinct word byte by byte; gains of buckets; ranks by a sort.
+_OP11 = r"""
+WITH crc AS (
+    SELECT list(c ORDER BY i) AS steps FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                   (a, b) -> CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+        FROM range(256) t(i))),
+source_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '{word}') AS w FROM documents),
+target_words AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '{word}')) AS word FROM benchmark),
+every AS (SELECT doc_id, unnest(w) AS word FROM source_words),
+buckets AS (
+    SELECT word, xor(4294967295, list_reduce(
+               list_concat([4294967295], list_transform(range(octet_length(encode(word))),
+                   i -> ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT)),
+               (a, b) -> xor(a >> 8, steps[(xor(a, b) & 255) + 1]))) % 10000 AS bucket
+    FROM (SELECT word FROM every UNION SELECT word FROM target_words), crc),
+s AS (SELECT bucket, count(*) AS n FROM every JOIN buckets USING (word) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS n FROM target_words JOIN buckets USING (word) GROUP BY 1),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(
+               (coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM every) + 10000)::DOUBLE
+               / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM target_words) + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM s LEFT JOIN t USING (bucket)),
+weights AS (
+    SELECT doc_id, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+    FROM every JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY 1),
+scored AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT)
+               AS score
+    FROM source_words LEFT JOIN weights USING (doc_id)),
+ranks AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranks USING (doc_id)
+""".replace("{word}", _WORD)
+
 ORACLES: dict[str, str] = {
     "op3_minhash_neardup": _OP3,
     "op5_decontamination": _OP5,
     "op6_source_mix": _OP6,
     "op8_suffix_dedup": _OP8,
+    "op11_resampling": _OP11,
 }
