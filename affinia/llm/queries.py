@@ -269,7 +269,7 @@ _OP11 = r"""
 WITH crc AS (
     SELECT list(c ORDER BY i) AS steps FROM (
         SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
-                   (a, b) -> CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+                   lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
         FROM range(256) t(i))),
 source_words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -281,8 +281,8 @@ every AS (SELECT doc_id, unnest(w) AS word FROM source_words),
 buckets AS (
     SELECT word, xor(4294967295, list_reduce(
                list_concat([4294967295], list_transform(range(octet_length(encode(word))),
-                   i -> ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT)),
-               (a, b) -> xor(a >> 8, steps[(xor(a, b) & 255) + 1]))) % 10000 AS bucket
+                   lambda i: ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT)),
+               lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1]))) % 10000 AS bucket
     FROM (SELECT word FROM every UNION SELECT word FROM target_words), crc),
 s AS (SELECT bucket, count(*) AS n FROM every JOIN buckets USING (word) GROUP BY 1),
 t AS (SELECT bucket, count(*) AS n FROM target_words JOIN buckets USING (word) GROUP BY 1),
