@@ -28,14 +28,19 @@ def drop_nulls(ratings: DataFrame) -> DataFrame:
 def latest_ratings(ratings: DataFrame) -> DataFrame:
     """One rating for each user and item: the latest, the highest of equal times.
 
-    An aggregate rather than a window: each task first reduces its own rows,
-    so a pair that is repeated very often never gathers in one task.
+    Aggregates rather than a window: each task first reduces its own rows, so a
+    pair that is repeated very often never gathers in one task. The first one leaves the highest rating of
+    each time, the second the latest time. Both keep numbers only, so they hash and nothing is sorted.
     """
-    latest = F.max(F.struct(S.TIMESTAMP, S.RATING))
+    time = F.coalesce(S.TIMESTAMP, F.lit(-(2**31)))  # a missing time is the earliest
+    highest = ratings.groupBy(S.USER, S.ITEM, S.TIMESTAMP).agg(F.max(S.RATING).alias(S.RATING))
     return (
-        ratings.groupBy(S.USER, S.ITEM)
-        .agg(latest.alias("latest"))
-        .select(S.USER, S.ITEM, f"latest.{S.RATING}", f"latest.{S.TIMESTAMP}")
+        highest.groupBy(S.USER, S.ITEM)
+        .agg(
+            F.max_by(F.col(S.RATING), time).alias(S.RATING),
+            F.max(S.TIMESTAMP).alias(S.TIMESTAMP),
+        )
+        .select(S.USER, S.ITEM, S.RATING, S.TIMESTAMP)
     )
 
 

@@ -115,3 +115,18 @@ def test_statistics(ratings_of, catalog_of):
     catalog = catalog_of([(i, "t", "g") for i in range(5)])
     stats = activity.service_stats(ratings, catalog, 20).first()
     assert (stats["ratings"], stats["users"], stats["movies"], stats["rank"]) == (3, 2, 5, 20)
+
+
+def test_statistics_of_ids_far_apart_null_and_repeated(ratings_of, catalog_of):
+    ids = [-(2**31), -1, 0, 1, 2**15, 2**15 + 1, 2**31 - 1, None]
+    rows = [(user, item, 1.0, 1) for user in ids for item in ids[::2]] * 2
+    found = activity.dataset_stats(ratings_of(rows)).first()
+    assert tuple(found) == (len(rows), 7, 4, 1.0)
+    assert tuples(activity.dataset_stats(ratings_of([]))) == [(0, 0, 0, None)]
+    empty = activity.service_stats(ratings_of([]), catalog_of([]), 3).first()
+    assert (empty["ratings"], empty["users"], empty["movies"]) == (0, 0, 0)
+
+
+def test_latest_of_equal_and_missing_times(ratings_of):
+    rows = [(1, 1, 2.0, 5), (1, 1, 4.5, 5), (1, 1, 5.0, 4), (2, 1, 1.0, None), (2, 1, 3.0, None), (3, 1, 2.5, None), (3, 1, 1.0, -7)]
+    assert tuples(cleaning.latest_ratings(ratings_of(rows))) == [(1, 1, 4.5, 5), (2, 1, 3.0, None), (3, 1, 1.0, -7)]
