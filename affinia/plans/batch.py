@@ -15,9 +15,11 @@ from affinia.operators.factorize import evaluate, fit
 from affinia.operators.recommend import recommend_all_users, top_n_for_user
 from affinia.operators.similar import similar_items
 from affinia.operators.splitting import side, with_split
+from affinia.plans.payloads import metrics_answer
 from affinia.settings import SEED, SMALL_DEFAULTS, TOP_N, Preset
 from affinia.sources.landing import land_raw, landed_catalog, landed_ratings, write_processed
-from affinia.sources.models import load_model, model_path, save_model, write_recommendations
+from affinia.sources.models import ITEMS, USERS, load_model, model_path, read_factors, read_vector
+from affinia.sources.models import save_model, write_recommendations
 from affinia.sources.workspace import staging
 
 
@@ -37,6 +39,7 @@ class Answers:
     trained: Trained
     recommended: DataFrame
     similar: DataFrame
+    report: DataFrame
 
 
 def loaded(ratings: DataFrame) -> DataFrame:
@@ -46,6 +49,17 @@ def loaded(ratings: DataFrame) -> DataFrame:
     return dataset_stats(ratings).withColumn("incomplete", count)
 
 
+def report(ratings: DataFrame, trained: "Trained") -> DataFrame:
+    """What loading and training tell their caller, in one row.
+
+    ``data`` has the statistics of the landed ratings, ``model`` the errors of the model as they are
+    reported, with the numbers of held-out ratings that were scored and that there are.
+    """
+    data = loaded(ratings).select(F.struct("*").alias("data"))
+    model = metrics_answer(trained.metrics).select(F.struct("*").alias("model"))
+    return data.withColumn("model", model.scalar())
+
+
 def land(spark: SparkSession, data_dir: str, base: str) -> tuple[DataFrame, DataFrame]:
     """Land the input files and read them back as ratings and catalogue."""
     land_raw(spark, data_dir, base)
@@ -84,16 +98,16 @@ def train(
 def recommend(
     ratings: DataFrame, catalog: DataFrame, base: str, user_id: int, n: int = TOP_N
 ) -> DataFrame:
-    """Recommendations for one user from the stored model."""
-    model = load_model(model_path(base))
-    users, items = model.userFactors, model.itemFactors
-    return top_n_for_user(ratings, catalog, users, items, user_id, n, model.rank)
+    """Recommendations for one user from the stored model: one vector is read, and all items."""
+    spark, path = catalog.sparkSession, model_path(base)
+    user, items = read_vector(spark, path, user_id, USERS), read_factors(spark, path, ITEMS)
+    return top_n_for_user(ratings, catalog, user, items, user_id, n)
 
 
 def similar(catalog: DataFrame, base: str, movie_id: int, n: int = TOP_N) -> DataFrame:
     """Items similar to one item from the stored model."""
-    model = load_model(model_path(base))
-    return similar_items(model.itemFactors, catalog, movie_id, n, model.rank)
+    items = read_factors(catalog.sparkSession, model_path(base), ITEMS)
+    return similar_items(items, catalog, movie_id, n)
 
 
 def statistics(ratings: DataFrame, catalog: DataFrame, base: str) -> DataFrame:
@@ -127,4 +141,5 @@ def full(
         trained,
         recommend(ratings, catalog, base, user_id, n),
         similar(catalog, base, movie_id, n),
+        report(ratings, trained),
     )

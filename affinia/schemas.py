@@ -46,6 +46,7 @@ FACTORS = T.StructType(
 # Columns that operators add.
 PREDICTION = "prediction"
 SIMILARITY = "similarity"
+LENGTH = "length"
 RANK = "rank"
 SPLIT = "split"
 TRAIN = "train"

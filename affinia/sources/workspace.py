@@ -4,6 +4,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,13 +43,54 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Folders that ``written`` has made since the innermost ``temporary`` began.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def written(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Later steps then start from files: they do not repeat the work before the
-    write, and a lost executor does not cause it to be repeated either.
+    write, and a lost executor does not cause it to be repeated either. The table is deleted when the
+    session's driver ends, or with the ``temporary`` block it was written in.
     """
-    return _written_to(df, new_folder(df.sparkSession, label), partition_by)
+    folder = new_folder(df.sparkSession, label)
+    delete_at_exit(df.sparkSession, folder)
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(folder)
+    return _written_to(df, folder, partition_by)
+
+
+def delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Let the driver delete a folder of this session when it ends."""
+    path, files = hadoop(spark, folder)
+    files.deleteOnExit(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Delete what ``written`` writes inside, at the end; the function given keeps a table.
+
+    A result that is still to be computed from these tables has to be kept, which writes it.
+    """
+    outer, owned, kept = _OWNED.get(), [], []
+    token = _OWNED.set(owned)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        result = written(df, label)
+        kept.append(owned.pop())
+        return result
+
+    try:
+        yield keep
+    finally:
+        _OWNED.reset(token)
+        if outer is not None:
+            outer += kept
+        for folder in owned:
+            path, files = hadoop(spark, folder)
+            files.delete(path, True)
 
 
 @contextmanager
@@ -61,7 +103,7 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
     try:
         yield lambda df, label: _written_to(df, f"{folder}/{label}")
     finally:
-        path, files = _hadoop(spark, folder)
+        path, files = hadoop(spark, folder)
         files.delete(path, True)
 
 
@@ -70,7 +112,7 @@ def _written_to(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
     """A path, and the file system it is on."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -78,5 +120,5 @@ def _hadoop(spark: SparkSession, path: str):
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on any file system Spark can reach."""
-    hadoop_path, files = _hadoop(spark, path)
+    hadoop_path, files = hadoop(spark, path)
     return files.exists(hadoop_path)
