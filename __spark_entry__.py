@@ -15,14 +15,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from affinia import schemas as S  # noqa: E402
 from affinia.functions import vectors  # noqa: E402
-from affinia.operators import activity, candidates, cleaning, factorize, lookup  # noqa: E402
+from affinia.operators import activity, approximate, candidates, cleaning, factorize, lookup  # noqa: E402
 from affinia.operators import metrics, recommend, scoring, similar, splitting  # noqa: E402
 from affinia.operators.grid import top_n  # noqa: E402
 from affinia.plans import batch, payloads  # noqa: E402
 from affinia.settings import TOP_N, TUNE_FOLDS, Preset  # noqa: E402
 from affinia.sources import landing, models  # noqa: E402
 from affinia.sources import order_tables as tables  # noqa: E402
-from affinia.sources.workspace import new_folder, written  # noqa: E402
+from affinia.sources import workspace  # noqa: E402
+from affinia.sources.workspace import written  # noqa: E402
 
 try:  # text operators and their pipeline: an optional part of this repository
     import corpus_pipeline
@@ -33,9 +34,17 @@ except ModuleNotFoundError as missing:
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder for what a query stores; it goes when the session's driver ends."""
+    folder = workspace.new_folder(spark, label)
+    workspace.delete_at_exit(spark, folder)
+    return folder
+
+
 USER_ID = 7
 MOVIE_ID = 1
-RANK = tables.EMBEDDING_RANK
 
 # The order tables hold about 40 ratings for a user and 30 for an item, so
 # these thresholds leave some out on both sides.
@@ -105,11 +114,11 @@ def _rounded(df: DataFrame, column: str) -> DataFrame:
 def _score_pairs(spark, folder) -> DataFrame:
     pairs = tables.ratings(spark, folder).select(S.USER, S.ITEM).distinct()
     users, items = tables.user_factors(spark, folder), tables.item_factors(spark, folder)
-    return _rounded(scoring.score_pairs(pairs, users, items, RANK), S.PREDICTION)
+    return _rounded(scoring.score_pairs(pairs, users, items), S.PREDICTION)
 
 
 def _item_norms(spark, folder) -> DataFrame:
-    return _rounded(scoring.item_norms(tables.item_factors(spark, folder), RANK), "norm")
+    return _rounded(scoring.item_norms(tables.item_factors(spark, folder)), "norm")
 
 
 def _unseen(spark, folder) -> DataFrame:
@@ -125,7 +134,6 @@ def _top_n_for_user(spark, folder) -> DataFrame:
         tables.user_factors(spark, folder),
         tables.item_factors(spark, folder),
         USER_ID,
-        rank=RANK,
     )
     return _rounded(found, S.PREDICTION)
 
@@ -152,7 +160,6 @@ def _similar_items(spark, folder) -> DataFrame:
         tables.item_factors(spark, folder),
         tables.catalog(spark, folder),
         MOVIE_ID,
-        rank=RANK,
     )
     return _rounded(found, S.SIMILARITY)
 
@@ -196,6 +203,84 @@ def _recs_sink(spark, folder) -> DataFrame:
     return models.read_recommendations(spark, base)
 
 
+def _recs_of_one(spark, folder) -> DataFrame:
+    base = new_folder(spark, "recommendations")
+    models.write_recommendations(_recommend_all_unseen(spark, folder), base)
+    return models.read_recommendations_of(spark, base, USER_ID)
+
+
+def _vector_reads(spark, folder) -> DataFrame:
+    """The vectors of a user and an item, each by one read of a stored table."""
+    found = []
+    for kind, factors, key in (
+        ("user", tables.user_factors(spark, folder), USER_ID),
+        ("item", tables.item_factors(spark, folder), MOVIE_ID),
+    ):
+        base = new_folder(spark, "factors")
+        models.write_factors(factors, base)
+        row = models.read_vector(spark, base, key).select(F.lit(kind).alias("kind"), S.ID, S.LENGTH, F.posexplode(S.FEATURES))
+        found.append(_rounded(row, S.LENGTH).select("kind", S.ID, S.LENGTH, "pos", F.col("col").cast("double").alias("value")))
+    return found[0].unionByName(found[1])
+
+
+def _top_n_stored(spark, folder) -> DataFrame:
+    """The answer for one user from stored factor tables; published twice, so the second is read."""
+    users, items = new_folder(spark, "factors"), new_folder(spark, "factors")
+    for _ in range(2):
+        models.write_factors(tables.user_factors(spark, folder), users)
+        models.write_factors(tables.item_factors(spark, folder), items)
+    found = recommend.top_n_for_user(
+        tables.ratings(spark, folder),
+        tables.catalog(spark, folder),
+        models.read_vector(spark, users, USER_ID),
+        models.read_factors(spark, items),
+        USER_ID,
+    )
+    return _rounded(found, S.PREDICTION)
+
+
+def _landing_rejects(spark, folder) -> DataFrame:
+    """Ratings landed from a file in which some cells do not fit: no discount spoils the rating,
+    a third of all parts the user, and a ship mode the time."""
+    source, base = new_folder(spark, "files"), new_folder(spark, "landed")
+    rows = tables.ratings_with_gaps(spark, folder)
+    text = lambda spoilt, value, column: F.when(spoilt, value).otherwise(F.col(column).cast("string")).alias(column)
+    rows.select(
+        text(F.col(S.ITEM) % 3 == 0, F.concat(F.lit("99999"), F.col(S.USER), F.lit("0000")), S.USER),
+        S.ITEM,
+        text(F.col(S.RATING).isNull(), F.lit("none"), S.RATING),
+        text(F.col(S.ITEM) % 5 == 0, F.lit("then"), S.TIMESTAMP),
+    ).write.option("header", True).csv(f"{source}/{S.RATINGS_FILE}")
+    landing.land_raw(spark, source, base)
+    return landing.landed_rejects(spark, base).drop("file")
+
+
+def _batch_report(spark, folder) -> DataFrame:
+    """What a whole batch run reports, and whether its errors are numbers."""
+    ratings, catalog = tables.ratings_with_gaps(spark, folder), tables.catalog(spark, folder)
+    base = new_folder(spark, "full")
+    answers = batch.full(ratings, catalog, base, USER_ID, MOVIE_ID, preset=CLEANING)
+    measured = (F.col("model.rmse") > 0) & (F.col("model.mae") > 0) & (F.col("model.rmse") < 10)
+    return answers.report.select("data.*", "model.n_scored", "model.n_total", measured.alias("measured"))
+
+
+def _similar_items_approx(spark, folder) -> DataFrame:
+    """Approximate lists on trained factors: how many there are, whether scores are
+    exact, and whether at least nine tenths of the exact search are found."""
+    model, _ = _trained(spark, folder)
+    items = lookup.in_catalog(model.itemFactors, tables.catalog(spark, folder))
+    found = written(approximate.top_n_approx(items), "approximate")
+    exact = top_n(items, items, TOP_N, cosine=True, skip_self=True)
+    both = found.join(exact.withColumnRenamed("score", "expected"), ["left", "right"])
+    same = both.agg(F.coalesce(F.max(F.abs(F.col("score") - F.col("expected"))), F.lit(0.0)) < 1e-12)
+    measured = approximate.recall(found, exact, ["left", "right"])
+    return measured.select(
+        F.lit(found.count()).alias("n_rows"),
+        (F.col("recall") >= 0.9).alias("recall_at_least_09"),
+        same.scalar().alias("exact_scores"),
+    )
+
+
 def _als_user_factors(spark, folder) -> DataFrame:
     model, split = _trained(spark, folder)
     gaps = metrics.least_squares_gap(
@@ -287,7 +372,7 @@ def _als_top_n_for_user(spark, folder) -> DataFrame:
     model, _ = _trained(spark, folder)
     ratings, catalog = tables.ratings(spark, folder), tables.catalog(spark, folder)
     users, items = model.userFactors, model.itemFactors
-    found = recommend.top_n_for_user(ratings, catalog, users, items, USER_ID, rank=model.rank)
+    found = recommend.top_n_for_user(ratings, catalog, users, items, USER_ID)
     unseen = candidates.unseen_items(ratings, catalog, USER_ID)
     return _one_list(found, _by_expression(unseen, model), S.PREDICTION)
 
@@ -323,7 +408,7 @@ def _als_recommend_all_unseen(spark, folder) -> DataFrame:
 def _als_similar_items(spark, folder) -> DataFrame:
     model, _ = _trained(spark, folder)
     catalog, items = tables.catalog(spark, folder), model.itemFactors
-    found = similar.similar_items(items, catalog, MOVIE_ID, rank=model.rank)
+    found = similar.similar_items(items, catalog, MOVIE_ID)
     target = items.where(F.col(S.ID) == MOVIE_ID).agg(F.max(S.FEATURES)).scalar()
     others = lookup.in_catalog(items.where(F.col(S.ID) != MOVIE_ID), catalog).withColumn("t", target)
     cosine = vectors.cosine(F.col("t"), F.col(S.FEATURES)).alias("expected")
@@ -469,6 +554,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "evaluate_metrics": _evaluate_metrics,
         "land_raw": _land_raw,
         "recs_sink_roundtrip": _recs_sink,
+        "recs_sink_one_user": _recs_of_one,
+        "factor_point_reads": _vector_reads,
+        "top_n_from_store": _top_n_stored,
+        "landing_rejects": _landing_rejects,
+        "batch_report": _batch_report,
+        "similar_items_approx": _similar_items_approx,
         "model_roundtrip": _model_roundtrip,
         "als_user_factors": _als_user_factors,
         "als_item_factors": _als_item_factors,
@@ -664,6 +755,34 @@ def oracle_sql() -> dict[str, str]:
             FROM latest LEFT JOIN means USING ("movieId") WHERE split = 'test' """,
         "land_raw": f"""{_COMMON} SELECT * FROM ratings LEFT JOIN catalog USING ("movieId")""",
         "recs_sink_roundtrip": _recommendations_sql(True),
+        "recs_sink_one_user": f"""{_recommendations_sql(True)} WHERE "userId" = {USER_ID}""",
+        "factor_point_reads": f"""{_COMMON}
+            SELECT kind, id, round(sqrt(list_dot_product(features, features)), 6) AS length,
+                   CAST(unnest(range(len(features))) AS INT) AS pos, unnest(features) AS value
+            FROM (SELECT 'user' AS kind, * FROM user_factors WHERE id = {USER_ID}
+                  UNION ALL SELECT 'item', * FROM item_factors WHERE id = {MOVIE_ID})""",
+        "top_n_from_store": f"""{_COMMON}
+            SELECT CAST(rank AS INT) AS rank, "movieId", title, genres, round(score, 6) AS prediction
+            FROM ({_ranked_sql(True)}) JOIN catalog USING ("movieId") WHERE "userId" = {USER_ID}""",
+        "landing_rejects": f"""{_COMMON},
+            spoilt AS (
+                SELECT CASE WHEN "movieId" % 3 = 0 THEN 'userId' END AS u, CASE WHEN rating IS NULL THEN 'rating' END AS r,
+                       CASE WHEN "movieId" % 5 = 0 THEN 'timestamp' END AS t,
+                       CASE WHEN "movieId" % 3 = 0 THEN '99999' || "userId" || '0000' ELSE "userId"::VARCHAR END
+                       || ',' || "movieId" || ',' || CASE WHEN rating IS NULL THEN 'none' ELSE rating::VARCHAR END || ','
+                       || CASE WHEN "movieId" % 5 = 0 THEN 'then' ELSE "timestamp"::VARCHAR END AS line
+                FROM gappy)
+            SELECT 'ratings.csv' AS source, 'no value for ' || concat_ws(',', u, r, t) AS cause, line
+            FROM spoilt WHERE coalesce(u, r, t) IS NOT NULL""",
+        "batch_report": f"""{_COMMON} {_cleaned_sql(_COMPLETE)}
+            SELECT count(*) AS ratings, count(DISTINCT "userId") AS users, count(DISTINCT "movieId") AS movies,
+                   avg(rating) AS avg_rating, count(*) - count(rating) AS incomplete,
+                   (SELECT count(*) FROM known_test) AS n_scored,
+                   (SELECT count(*) FROM split_ratings WHERE split = 'test') AS n_total, true AS measured
+            FROM gappy""",
+        "similar_items_approx": f"""{_ALS} {_TRAINED}
+            SELECT CAST((SELECT count(*) * least({TOP_N}, count(*) - 1) FROM items) AS INT) AS n_rows,
+                   true AS recall_at_least_09, true AS exact_scores""",
         "model_roundtrip": f"""{_ALS}
             SELECT count(*) AS n_predictions, CAST(0 AS BIGINT) AS n_changed,
                    CAST({CLEANING.reg_param} AS DOUBLE) AS reg_param FROM known_test""",

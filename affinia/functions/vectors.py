@@ -7,28 +7,16 @@ score is the same number in every plan that computes it.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# One generated method holds the whole sum; longer ones would not be compiled.
-UNROLL_LIMIT = 64
 
+def dot(a: Column, b: Column) -> Column:
+    """Inner product of two arrays; null if their lengths differ or a value is null."""
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
-def dot(a: Column, b: Column, rank: int | None = None) -> Column:
-    """Inner product of two arrays; null if their lengths differ.
 
-    With a known ``rank`` the sum is written out term by term, which stays in
-    generated code. Without it, higher-order functions do the same sum.
-    """
-    if rank is None or rank > UNROLL_LIMIT:
-        products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
-    total = F.lit(0.0)
-    for i in range(rank):
-        total = total + F.get(a, F.lit(i)).cast("double") * F.get(b, F.lit(i)).cast("double")
-    return F.when((F.size(a) == rank) & (F.size(b) == rank), total)
-
-
-def norm(a: Column, rank: int | None = None) -> Column:
+def norm(a: Column) -> Column:
     """Euclidean length of an array."""
-    return F.sqrt(dot(a, a, rank))
+    return F.sqrt(dot(a, a))
 
 
 def cosine_from(dot_ab: Column, norm_a: Column, norm_b: Column) -> Column:

@@ -9,14 +9,17 @@ from affinia.operators.candidates import user_history
 from affinia.operators.grid import top_n
 from affinia.operators.lookup import in_catalog, with_titles, with_titles_of_few
 from affinia.operators.ranking import best
-from affinia.operators.scoring import usable
 from affinia.settings import TOP_N
 
 
-def vector_of(factors: DataFrame, key: int, rank: int | None = None) -> Column:
+def length_of(factors: DataFrame) -> Column:
+    """Length of each vector, as the table has it if it was stored for reads by id."""
+    return F.col(S.LENGTH) if S.LENGTH in factors.columns else norm(F.col(S.FEATURES))
+
+
+def vector_of(factors: DataFrame, key: int) -> Column:
     """Vector and length of one id as a constant; null for an unknown id."""
-    length = norm(F.col(S.FEATURES), rank)
-    found = F.struct(F.col(S.FEATURES).alias("vector"), length.alias("length"))
+    found = F.struct(F.col(S.FEATURES).alias("vector"), length_of(factors).alias("length"))
     return factors.filter(F.col(S.ID) == key).agg(F.max(found)).scalar()
 
 
@@ -27,17 +30,16 @@ def top_n_for_user(
     item_factors: DataFrame,
     user_id: int,
     n: int = TOP_N,
-    rank: int | None = None,
 ) -> DataFrame:
     """The n best catalogue items that one user has not rated, best first.
 
-    An unknown user gives no rows. With the ``rank`` of the vectors, products stay in
-    generated code.
+    An unknown user gives no rows. A vector that is not of finite numbers gives no finite
+    score, so it is left out with that.
     """
-    items = in_catalog(usable(item_factors, rank), catalog).withColumnRenamed(S.ID, S.ITEM)
+    items = in_catalog(item_factors, catalog).withColumnRenamed(S.ID, S.ITEM)
     unseen = items.join(user_history(ratings, user_id), S.ITEM, "left_anti")
-    user = unseen.withColumn("user", vector_of(usable(user_factors, rank), user_id, rank))
-    score = dot(F.col("user.vector"), F.col(S.FEATURES), rank).alias(S.PREDICTION)
+    user = unseen.withColumn("user", vector_of(user_factors, user_id))
+    score = dot(F.col("user.vector"), F.col(S.FEATURES)).alias(S.PREDICTION)
     return (
         with_titles_of_few(best(user.select(S.ITEM, score), S.PREDICTION, n), catalog)
         .select(S.RANK, S.ITEM, S.TITLE, S.GENRES, S.PREDICTION)

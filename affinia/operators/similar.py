@@ -4,12 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinia import schemas as S
-from affinia.functions.vectors import cosine_from, dot, norm
+from affinia.functions.vectors import cosine_from, dot
 from affinia.operators.grid import top_n
 from affinia.operators.lookup import in_catalog, with_titles, with_titles_of_few
 from affinia.operators.ranking import best
-from affinia.operators.recommend import vector_of
-from affinia.operators.scoring import usable
+from affinia.operators.recommend import length_of, vector_of
 from affinia.settings import TOP_N
 
 
@@ -18,29 +17,16 @@ def similar_items(
     catalog: DataFrame,
     movie_id: int,
     n: int = TOP_N,
-    rank: int | None = None,
 ) -> DataFrame:
     """The n catalogue items most similar to one item, without the item itself.
 
-    An unknown item gives no rows. With the ``rank`` of the vectors, products stay in
-    generated code.
+    An unknown item gives no rows, and a vector that is not of finite numbers none of its own.
     """
-    item_factors = usable(item_factors, rank)
     others = in_catalog(item_factors.filter(F.col(S.ID) != movie_id), catalog)
-    target = vector_of(item_factors, movie_id, rank)
-    scored = (
-        others.withColumn("target", target)
-        .select(
-            F.col(S.ID).alias(S.ITEM),
-            dot(F.col(S.FEATURES), F.col("target.vector"), rank).alias("product"),
-            norm(F.col(S.FEATURES), rank).alias("length"),
-            F.col("target.length").alias("target_length"),
-        )
-        .select(
-            S.ITEM,
-            cosine_from(F.col("product"), F.col("target_length"), F.col("length")).alias(S.SIMILARITY),
-        )
-    )
+    product = dot(F.col(S.FEATURES), F.col("target.vector"))
+    similarity = cosine_from(product, F.col("target.length"), length_of(item_factors))
+    scored = others.withColumn("target", vector_of(item_factors, movie_id))
+    scored = scored.select(F.col(S.ID).alias(S.ITEM), similarity.alias(S.SIMILARITY))
     return (
         with_titles_of_few(best(scored, S.SIMILARITY, n), catalog)
         .select(S.RANK, S.ITEM, S.TITLE, S.GENRES, S.SIMILARITY)

@@ -178,12 +178,18 @@ def test_batch(spark, planted, catalog, tmp_path):
     assert models.load_params(spark, answers.trained.path).first()["rank"] == 3
     assert tuples(batch.recommend(ratings, landed, base, 17, 4)) == tuples(answers.recommended)
     assert tuples(batch.similar(landed, base, 5, 4)) == tuples(answers.similar)
+    report = answers.report.first()
+    assert (report["data"]["ratings"], report["data"]["incomplete"]) == (planted.count(), 0)
+    assert report["model"]["rmse"] == round(answers.trained.metrics.first()["rmse"], 4)
+    assert report["model"]["n_scored"] <= report["model"]["n_total"]
     batch.recommend_everyone(ratings, landed, base, 4)
     stored = models.read_recommendations(spark, base)
     assert stored.count() == 800
     assert tuples(stored.filter("userId = 17").select(S.RANK, S.ITEM)) == tuples(
         answers.recommended.select(S.RANK, S.ITEM)
     )
+    of_one = models.read_recommendations_of(spark, base, 17)
+    assert tuples(of_one) == tuples(stored.filter("userId = 17").select(of_one.columns))
 
 
 def test_presets():

@@ -51,7 +51,7 @@ def all_plans(stored):
         "service": activity.service_stats(ratings, catalog, 4),
         "clean": splitting.with_split(cleaning.clean(ratings)),
         "unseen": candidates.unseen_items(ratings, catalog, 7),
-        "scores": scoring.score_pairs(ratings, factors, factors, 4),
+        "scores": scoring.score_pairs(ratings, factors, factors),
         "one user": recommend.top_n_for_user(ratings, catalog, factors, factors, 7),
         "all users": recommend.recommend_all_users(factors, factors, catalog, seen=ratings),
         "one item": similar.similar_items(factors, catalog, 7),
@@ -79,7 +79,7 @@ def test_scans_read_what_they_need(stored):
 def test_branches_of_cleaning_share_the_deduplication(stored):
     ratings, _, _ = stored
     plan = final_plan_of(cleaning.clean(ratings, Preset(2, 2, rank=1)))
-    executed = re.findall(r"- Exchange hashpartitioning\(userId#\d+, movieId#\d+", plan)
+    executed = re.findall(r"- Exchange hashpartitioning\(userId#\d+, movieId#\d+, timestamp#\d+", plan)
     assert len(executed) == 1
     assert plan.count("ReusedExchange") >= 2
 
@@ -90,6 +90,20 @@ def test_counts_are_reduced_before_the_shuffle(stored):
         assert "partial_count" in plan_of(df)
 
 
+def test_distinct_ids_are_counted_without_sending_ids(stored):
+    ratings, catalog, _ = stored
+    for df in (activity.dataset_stats(ratings), activity.service_stats(ratings, catalog, 4)):
+        plan = plan_of(df)
+        assert "Expand" not in plan and "distinct" not in plan and "bitmap_construct_agg" in plan
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+        assert keys and all(S.USER not in key and S.ITEM not in key for key in keys)
+
+
+def test_deduplication_hashes_and_does_not_sort(stored):
+    plan = plan_of(cleaning.latest_ratings(stored[0]))
+    assert "Sort" not in plan and plan.count("HashAggregate") >= 4
+
+
 def test_short_lists_are_cut_before_titles_are_joined(stored):
     ratings, catalog, factors = stored
     for df in (

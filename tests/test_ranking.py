@@ -260,10 +260,9 @@ def test_grid_without_users_or_items(factors_of):
 def test_score_pairs(spark, factors_of):
     users, items = factors_of(USERS + [(3, None)]), factors_of(ITEMS)
     pairs = spark.createDataFrame([(1, 10), (2, 13), (1, 99), (98, 10), (3, 10)], "userId int, movieId int")
-    for rank in (None, 2):
-        assert tuples(scoring.score_pairs(pairs, users, items, rank)) == [(1, 10, 3.0), (2, 13, 4.0)]
-        kept = scoring.score_pairs(pairs, users, items, rank, keep_unknown=True)
-        assert kept.count() == 5 and kept.na.drop().count() == 2
+    assert tuples(scoring.score_pairs(pairs, users, items)) == [(1, 10, 3.0), (2, 13, 4.0)]
+    kept = scoring.score_pairs(pairs, users, items, keep_unknown=True)
+    assert kept.count() == 5 and kept.na.drop().count() == 2
     assert tuples(scoring.item_norms(items))[0] == (10, 3.0)
 
 
