@@ -30,7 +30,7 @@ from affinia.llm import tokens
 from affinia.llm.arrays import list_column, slices
 from affinia.sources.workspace import written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _LARGE_GROUP = 4096  # links; larger groups are linked by distinct ids
 
 
@@ -126,7 +126,8 @@ class _Runs:
         self.code: dict[bytes, int] = {}
         self.sizes = np.zeros((0, 5), np.int64)  # tokens of both, groups, links, whether given back
         self.groups: list[str] = []
-        self.pair, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pairs, self.order = np.zeros(0, np.int64), np.zeros(0, np.int64)  # id pairs as met, and sorted
+        self.pair, self.times = np.zeros(0, np.int32), np.zeros(0, np.int64)  # of each link; pairs by number
         self.starts = np.zeros(1, np.int64)
         # Ids with what follows them inside a group and at its end.
         names = lambda v, end: np.array([f"{i}{end}" for i in range(len(v.pieces))], object)
@@ -145,7 +146,7 @@ class _Runs:
         (a, a_at), (b, b_at) = self.first.encode(new), self.second.encode(new)
         faithful = self._faithful(new, a, a_at, b, b_at)
         keep = np.flatnonzero(faithful)
-        a, b = tokens.gathered(a, a_at, keep), tokens.gathered(b, b_at, keep)
+        a, b = (tokens.gathered(x, at, keep).astype(np.int64) for x, at in ((a, a_at), (b, b_at)))
         n_a, n_b = np.where(faithful, np.diff(a_at), 0), np.where(faithful, np.diff(b_at), 0)
         a_run, b_run = np.repeat(np.arange(len(new)), n_a), np.repeat(np.arange(len(new)), n_b)
         a_cut, b_cut = shared_cuts(np.cumsum(self.first.lengths[a]), np.cumsum(self.second.lengths[b]))
@@ -158,7 +159,18 @@ class _Runs:
         self.sizes = np.concatenate([self.sizes, np.stack(sums, axis=1)])
         self.groups += self._written(a, b, a_cut, b_cut, a_group, b_group, n_a + n_b)
         self.starts = np.r_[self.starts, len(self.pair) + np.cumsum(counted(link_run))]
-        self.pair, self.times = np.r_[self.pair, pair], np.r_[self.times, times]
+        self.pair, self.times = np.r_[self.pair, self._numbers(pair)], np.r_[self.times, times]
+
+    def _numbers(self, pair: np.ndarray) -> np.ndarray:
+        """Numbers of id pairs; new ones get the next."""
+        ordered = np.sort(pair)
+        ordered = ordered[np.flatnonzero(np.diff(ordered, prepend=-1))]
+        known = self.pairs[self.order]
+        place = np.minimum(np.searchsorted(known, ordered), max(len(known) - 1, 0))
+        new = ordered[known[place] != ordered] if len(known) else ordered
+        self.pairs = np.r_[self.pairs, new]
+        self.order = np.argsort(self.pairs, kind="stable")
+        return self.order[np.searchsorted(self.pairs[self.order], pair)].astype(np.int32)
 
     def _faithful(self, new, a, a_at, b, b_at) -> np.ndarray:
         """Whether both vocabularies give back the bytes of each run."""
@@ -202,8 +214,8 @@ def _batch(n: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(n, kinds[name])) for name in _NAMES], names=_NAMES)
 
 
-def _documents(runs: _Runs, texts: pa.Array, ids: pa.Array, block: int) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-    """Rows of documents, and the distinct pairs of these with the number of documents that have them."""
+def _documents(runs: _Runs, texts: pa.Array, ids: pa.Array, block: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Rows of documents, and for each pair of the block in how many of them it is linked."""
     data, offsets = tokens.led(texts)
     found, codes, at = tokens.runs(data, offsets)
     codes = runs.codes(found.to_pylist())[codes]
@@ -225,49 +237,52 @@ def _documents(runs: _Runs, texts: pa.Array, ids: pa.Array, block: int) -> tuple
         "block": pa.array(np.full(n, block)), "doc_id": ids, **dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums)),
         "groups": pa.array(groups, pa.large_string()), "runs": list_column([x.astype(np.int32) for x in lists], pa.int32()),
     })
-    doc_run = np.unique(_owned(at) * max(len(runs.code), 1) + codes)
-    doc, run = np.divmod(doc_run, max(len(runs.code), 1))
-    here = tokens.gathered(runs.pair, runs.starts, run)
+    doc, run = np.divmod(_distinct(_owned(at) * len(runs.code) + codes), max(len(runs.code), 1))
+    here = tokens.gathered(runs.pair, runs.starts, run).astype(np.int64)
     owner = np.repeat(doc, np.diff(runs.starts)[run])
-    order = np.lexsort([owner, here])
-    here, owner = here[order], owner[order]
-    first = np.r_[True, (here[1:] != here[:-1]) | (owner[1:] != owner[:-1])][: len(here)]
-    return rows, *np.unique(here[first], return_counts=True)
+    n_pairs = max(len(runs.pairs), 1)
+    return rows, np.bincount(_distinct(owner * n_pairs + here) % n_pairs, minlength=len(runs.pairs))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], first: tuple, second: tuple) -> Iterator[pa.RecordBatch]:
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.flatnonzero(np.diff(values, prepend=-1))]
+
+
+def _blocks(
+    batches: Iterator[pa.RecordBatch], first: tuple, second: tuple, block_bytes: int = BLOCK_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Rows of documents, and after those of a block one row with its pairs and links."""
     context = TaskContext.get()
     block = (context.partitionId() if context else 0) << 32
-    runs, size, pairs, counts = None, 0, [], []
+    runs, size, counts = None, 0, np.zeros(0, np.int64)
 
     def end() -> pa.RecordBatch:
-        pair, at = np.unique(np.concatenate([*pairs, runs.pair[:0]]), return_inverse=True)
-        docs = np.bincount(at, np.concatenate([*counts, runs.pair[:0]]), len(pair)).astype(np.int64)
-        # Runs of texts that are not given back have links no document has.
-        link = np.searchsorted(pair, runs.pair)
-        known = (link < len(pair)) & (pair[np.minimum(link, len(pair) - 1)] == runs.pair) if len(pair) else link < 0
+        # Runs of texts that are not given back have links that no document has.
+        held = runs.order[counts[runs.order] > 0]
+        number = np.zeros(len(runs.pairs), np.int32)
+        number[held] = np.arange(len(held))
         lists = {
-            "pairs": pair, "pair_docs": docs, "link_pairs": np.where(known, link, 0).astype(np.int32),
-            "link_times": np.where(known, runs.times, 0), "link_starts": runs.starts,
+            "pairs": runs.pairs[held], "pair_docs": counts[held], "link_pairs": number[runs.pair],
+            "link_times": np.where(counts[runs.pair] > 0, runs.times, 0), "link_starts": runs.starts,
         }
         return _batch(1, {"block": pa.array([block])} | {k: list_column([x], _LISTS[k]) for k, x in lists.items()})
 
     for rows, data, _ in slices(batches):
         runs = runs or _Runs(tokens.load(*first), tokens.load(*second))
-        out, pair, n = _documents(runs, rows.column("text"), rows.column("doc_id"), block)
-        pairs.append(pair)
-        counts.append(n)
+        out, here = _documents(runs, rows.column("text"), rows.column("doc_id"), block)
+        here[: len(counts)] += counts
+        counts = here
         size += len(data)
         yield out
-        if size >= BLOCK_BYTES:
+        if size >= block_bytes:
             yield end()
-            runs, size, pairs, counts, block = None, 0, [], [], block + 1
+            runs, size, counts, block = None, 0, np.zeros(0, np.int64), block + 1
     if runs:
         yield end()
 
 
-def aligned(docs: DataFrame, first: tuple, second: tuple) -> DataFrame:
+def aligned(docs: DataFrame, first: tuple, second: tuple, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents with their groups, in blocks.
 
     ``first`` and ``second`` are a class of ``tokens`` and the path of its vocabulary. Rows with a
@@ -275,7 +290,7 @@ def aligned(docs: DataFrame, first: tuple, second: tuple) -> DataFrame:
     row for each block, whose ``pairs`` are not null, for the functions below.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(partial(_blocks, first=first, second=second), _ROWS)
+    return rows.mapInArrow(partial(_blocks, first=first, second=second, block_bytes=block_bytes), _ROWS)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
@@ -325,8 +340,8 @@ def with_counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def alignment_digests(docs: DataFrame, first: tuple, second: tuple) -> DataFrame:
+def alignment_digests(docs: DataFrame, first: tuple, second: tuple, **how) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum."""
-    rows = aligned(docs, first, second)
+    rows = aligned(docs, first, second, **how)
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
     return with_counts(written(rows.select(*(name for name in _NAMES if name != "groups"), digest), "aligned"))

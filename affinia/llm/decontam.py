@@ -8,8 +8,8 @@ suffix. Every benchmark suffix is searched in it by bisection, and each
 occurrence is extended word by word to the longest verbatim match.
 
 An item is matched in windows of ``WINDOW`` words; a shorter one matches as a
-whole. The benchmark is cut into parts of at most ``PART_BYTES`` of text (or one
-item), so that what a task holds is bounded; each part makes one pass, and
+whole. The benchmark is dealt to numbered parts of about ``PART_BYTES`` of text, as a stored table. Each
+part makes one pass, for which the driver and the tasks hold that part alone, and
 no pass shuffles documents.
 
 Defined results: a null or empty text has no words and no hits; an item without
@@ -20,6 +20,7 @@ not read.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm.arrays import ALPHANUMERIC, slices, span_hashes, utf8, words
+from affinia.sources.workspace import written
 
 WINDOW = 10
 PART_BYTES = 32 << 20
@@ -149,17 +151,15 @@ def _matches(data: np.ndarray, offsets: np.ndarray, part: Part):
     return counts, found
 
 
-def _searched(part: Part):
+def _judge(part: Part):
+    """Rows with their word count and their matches, in place of the columns that the caller does not pass."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = ("item_id", "item_word", "word", "length")
         for rows, data, offsets in slices(batches):
             counts, found = _matches(data, offsets, part)
-            earlier = rows.column("matches").to_pylist()
-            fields = ("item_id", "item_word", "word", "length")
-            both = [
-                (old or []) + [dict(zip(fields, x)) for x in new] for old, new in zip(earlier, found)
-            ]
-            columns = [rows.column("doc_id"), rows.column("text"), pa.array(counts, pa.int64())]
-            columns.append(pa.array(both, _MATCH_TYPE))
+            lists = pa.array([[dict(zip(fields, x)) for x in new] for new in found], _MATCH_TYPE)
+            columns = [rows.column("doc_id"), rows.column("text"), pa.array(counts, pa.int64()), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_words", "matches"])
 
     return run
@@ -174,36 +174,47 @@ def _without_hits(part: Part):
     return run
 
 
-def _parts(benchmark: DataFrame, part_bytes: int) -> list[list[tuple[str, str]]]:
-    """The items cut into parts of bounded size; one item is never cut."""
+def _parts(benchmark: DataFrame, part_bytes: int | None) -> tuple[int, DataFrame]:
+    """The items dealt to numbered parts of about the size given, as a stored table, and how many there are."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     items = items.where("item_id IS NOT NULL AND text IS NOT NULL")
-    parts: list[list[tuple[str, str]]] = [[]]
-    size = 0
-    for row in items.dropDuplicates().toLocalIterator():
-        if size and size + len(row["text"]) > part_bytes:
-            parts.append([])
-            size = 0
-        parts[-1].append((row["item_id"], row["text"]))
-        size += len(row["text"])
-    return parts
-
-
-def matches(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    count = max(1, -(-size // (part_bytes or PART_BYTES)))
+    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).cast("int")
+    return count, written(items.dropDuplicates().withColumn("part", number), "benchmark-parts")
+
+
+def _read_part(items: DataFrame, number: int) -> Part:
+    """One part, which is all of the benchmark that the driver or a task ever holds."""
+    rows = items.where(F.col("part") == number).select("item_id", "text").collect()
+    return _part(sorted((row["item_id"], row["text"]) for row in rows))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, part_bytes: int | None = None) -> DataFrame:
     """Columns doc_id, text, n_words, and the longest matches with all benchmark items.
 
     A match says which item, the first word in it, the first word in the
-    document, and the number of words.
+    document, and the number of words. Each part of the benchmark makes a pass over the documents, whose
+    matches are stored before the next one.
     """
-    found = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
-        F.lit(0).cast("long").alias("n_words"),
-        F.lit(None).cast(_MATCHES).alias("matches"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    count, items = _parts(benchmark, part_bytes)
+    if count == 1:
+        return rows.mapInArrow(_judge(_read_part(items, 0)), _SCHEMA)
+    key = [F.col("doc_id").alias("of"), F.xxhash64("text").alias("text_id")]
+    passes = []
+    for number in range(count):
+        found = rows.mapInArrow(_judge(_read_part(items, number)), _SCHEMA).where(F.size("matches") > 0)
+        # Rows that are repeated have the same matches.
+        passes.append(written(found.select(*key, F.explode("matches").alias("match")).distinct(), "matches"))
+    found = reduce(DataFrame.unionByName, passes).groupBy("of", "text_id").agg(F.collect_list("match").alias("matches"))
+    found = written(found, "matches")
+    counted = rows.mapInArrow(_judge(_part([])), _SCHEMA).withColumn("id", F.xxhash64("text")).drop("matches")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("id") == F.col("text_id"))
+    none = F.lit([]).cast(_MATCHES)
+    return counted.join(found, same, "left").select(
+        "doc_id", "text", "n_words", F.coalesce("matches", none).alias("matches")
     )
-    for rows in _parts(benchmark, part_bytes):
-        found = found.mapInArrow(_searched(_part(rows)), _SCHEMA)
-    return found
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -226,12 +237,16 @@ def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return rows.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, part_bytes: int | None = None) -> DataFrame:
     """The documents without those that a benchmark item occurs in, all columns kept.
 
-    Rows are judged where they are, so there is no join and ids do not matter.
+    Rows are judged where they are, so there is no join and ids do not matter. With several parts of the
+    benchmark, what a pass leaves is stored for the next one. Documents without text stay; an empty
+    benchmark leaves all.
     """
+    count, items = _parts(benchmark, part_bytes)
     kept = docs
-    for rows in _parts(benchmark, PART_BYTES):
-        kept = kept.mapInArrow(_without_hits(_part(rows)), docs.schema)
+    for number in range(count):
+        kept = kept.mapInArrow(_without_hits(_read_part(items, number)), docs.schema)
+        kept = written(kept, "clean") if number < count - 1 else kept
     return kept

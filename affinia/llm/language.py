@@ -9,7 +9,8 @@ nearest language wins, and the first by name among equals.
 Texts are lower-cased; runs of other characters than letters become one space, and
 each text begins and ends with one. N-grams are packed into 63 bits, so counts are exact.
 Tasks count n-grams of each language before the shuffle; only profiles, at most
-``PROFILE`` rows for each of at most ``MOST_LANGUAGES`` languages, reach the driver.
+``PROFILE`` rows for each language, reach the driver and the tasks. A document is compared with the languages that
+have one of its n-grams, through lists of these, so the work does not grow with languages that share none.
 
 Defined results: a text that is null, empty or without a letter has ``und`` and score 0;
 without anything to learn from, every text has; repeated rows are judged
@@ -29,7 +30,6 @@ from affinia.llm.labelled import in_fold
 
 FOLDS, HELD_OUT = 5, 0
 PROFILE = 400
-MOST_LANGUAGES = 2_000
 _HELD_GRAMS = 1 << 20  # counters of a task before it sends them on
 _SPACE = 32
 _SHIFT = 21
@@ -102,13 +102,14 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     counted = rows.mapInArrow(_count, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # A filter on the number itself lets every task drop all but so many before the shuffle.
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    ranked = counted.withColumn("rank", F.row_number().over(order) - 1)
-    return ranked.where(F.col("rank") < size).select("lang", "gram", "rank")
+    first = counted.withColumn("number", F.row_number().over(order)).where(F.col("number") <= size)
+    return first.select("lang", "gram", (F.col("number") - 1).alias("rank"))
 
 
-def _predict(languages: list[str], grams: np.ndarray, ranks: np.ndarray, size: int):
-    """``ranks`` has a row for each n-gram of any profile, and a column for each language."""
+def _predict(languages: list[str], grams: np.ndarray, starts: np.ndarray, holders: np.ndarray, ranks: np.ndarray, size: int):
+    """For each n-gram of any profile, ``holders`` from ``starts`` on are the languages that have it, at ``ranks``."""
 
     def nearest(codes: np.ndarray | None) -> tuple[str, float]:
         if codes is None or not languages:
@@ -116,9 +117,13 @@ def _predict(languages: list[str], grams: np.ndarray, ranks: np.ndarray, size: i
         own, counts = _ranked(codes)
         top = np.lexsort((own, -counts))[:size]
         place = np.minimum(np.searchsorted(grams, own[top]), len(grams) - 1)
-        known = grams[place] == own[top]
-        moved = np.abs(ranks[place[known]] - np.flatnonzero(known)[:, None])
-        distances = np.minimum(moved, size).sum(axis=0) + size * np.count_nonzero(~known)
+        known = np.flatnonzero(grams[place] == own[top])
+        begin, n = starts[place[known]], np.diff(starts)[place[known]]
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        moved = np.minimum(np.abs(ranks[at] - np.repeat(known, n)), size)
+        # Every n-gram is ``size`` away from a language, but for those that have it.
+        nearer = np.bincount(holders[at], size - moved, len(languages)).astype(np.int64)
+        distances = size * len(top) - nearer
         best = int(np.argmin(distances))
         if len(languages) == 1:
             return languages[0], 1.0
@@ -143,20 +148,20 @@ def predict(docs: DataFrame, profile: DataFrame, size: int = PROFILE) -> DataFra
     found = profile.toArrow()
     languages = sorted(set(found.column("lang").to_pylist()))
     grams = np.unique(found.column("gram").to_numpy())
-    ranks = np.full((len(grams), len(languages)), 2 * size)  # a rank so far off counts as ``size``
-    column = np.searchsorted(np.array(languages), found.column("lang").to_numpy(zero_copy_only=False).astype(str))
-    ranks[np.searchsorted(grams, found.column("gram").to_numpy()), column] = found.column("rank").to_numpy()
+    place = np.searchsorted(grams, found.column("gram").to_numpy())
+    order = np.argsort(place, kind="stable")
+    names = {name: i for i, name in enumerate(languages)}
+    holders = np.array([names[x] for x in found.column("lang").to_pylist()], np.int64)[order]
+    ranks = found.column("rank").to_numpy().astype(np.int64)[order]
+    starts = np.searchsorted(place[order], np.arange(len(grams) + 1))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, lang_pred string, score double"
-    return rows.mapInArrow(_predict(languages, grams, ranks, size), schema)
+    return rows.mapInArrow(_predict(languages, grams, starts, holders, ranks, size), schema)
 
 
 def language(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     """Every document with held_out, lang_pred and score."""
     known = docs.where("doc_id IS NOT NULL").where(~in_fold("doc_id", FOLDS, HELD_OUT))
-    count = known.agg(F.count_distinct("lang")).first()[0]
-    if count > MOST_LANGUAGES:
-        raise ValueError(f"{count} languages to learn from; at most {MOST_LANGUAGES} are meant")
     found = predict(docs, profiles(known, size), size)
     held = in_fold("doc_id", FOLDS, HELD_OUT).alias("held_out")
     return found.select("doc_id", held, "lang_pred", "score")

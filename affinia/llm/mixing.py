@@ -25,6 +25,7 @@ not matter.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinia.llm.columns import unused
 from affinia.sources.workspace import written
 
 WEIGHTS = (5, 2, 1)
@@ -151,13 +152,15 @@ def _planned(sizes: DataFrame, **how) -> DataFrame:
     """One row per source: what it is taken whole, and its threshold."""
     plan = written(targets(sizes, **how), "targets")
     cuts = thresholds(sizes, plan.select("source", "rest")).withColumnRenamed("source", "of")
-    plan = plan.join(cuts, _null_safe("source", "of")).drop("of", "rest")
+    plan = plan.join(cuts, _null_safe("source", "of")).drop("of")
     return written(plan.withColumnRenamed("source", "of"), "plan")
 
 
-def _copies(name: Column) -> Column:
-    hit = (name < F.col("threshold")) | ((name == F.col("threshold")) & F.col("whole"))
-    return F.col("times") + hit.cast("long")
+def _copies(name: Column, plan: str = "") -> Column:
+    """How often a document is taken. Where its source has no words left to give, also empty ones get no more."""
+    times, rest, threshold, whole = (F.col(f"{plan}{x}") for x in ("times", "rest", "threshold", "whole"))
+    hit = (rest > 0) & ((name < threshold) | ((name == threshold) & whole))
+    return times + hit.cast("long")
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
@@ -170,13 +173,17 @@ def mix(docs: DataFrame, **how) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The documents that the mix takes, with how often (``copies``) and their words (``taken``)."""
+    """The documents that the mix takes, with how often (``copies``) and their words (``taken``).
+
+    Columns of these two names are replaced, all others are kept, whatever they are called. An empty
+    document of a source that is taken has copies and no words; none has more than ``most`` copies.
+    Documents of a source without any words, or with target 0, are not taken.
+    """
+    plan_name, of = unused(docs, "plan", "of")
     plan = _planned(written(sized(docs), "sizes"), **how)
-    plan = plan.select(F.struct("times", "threshold", "whole").alias("_plan"), F.col("of").alias("_of"))
-    columns = [name for name in docs.columns if name not in ("copies", "taken")]
-    rows = docs.select(*columns).join(plan, _null_safe("source", "_of"))
-    hit = _hash(F.col("doc_id"), F.col("text"))
-    threshold, whole = F.col("_plan.threshold"), F.col("_plan.whole")
-    hit = ((hit < threshold) | ((hit == threshold) & whole)).cast("long")
-    rows = rows.withColumn("copies", F.col("_plan.times") + hit).where("copies > 0")
-    return rows.select(*columns, "copies", (F.col("copies") * word_count(F.col("text"))).alias("taken"))
+    plan = plan.select(F.struct("times", "rest", "threshold", "whole").alias(plan_name), F.col("of").alias(of))
+    columns = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in ("copies", "taken")]
+    rows = docs.select(*columns).join(plan, _null_safe("source", of))
+    copies = _copies(_hash(F.col("doc_id"), F.col("text")), f"{plan_name}.")
+    rows = rows.select(*columns, copies.alias("copies")).where("copies > 0")
+    return rows.select("*", (F.col("copies") * word_count(F.col("text"))).alias("taken"))

@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.llm.arrays import distinct_sorted, list_column, shingle_hashes, slices
+from affinia.llm.columns import unused
 from affinia.llm.components import components
-from affinia.sources.workspace import written
+from affinia.sources.workspace import temporary, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = Fraction(85, 100)
@@ -288,6 +289,11 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataF
     """
     if not Fraction(80, 100) <= similarity <= 1:
         raise ValueError("similarity must be from 0.8 to 1")
+    with temporary(docs.sparkSession) as keep:
+        return keep(_judged(docs, similarity), "near-duplicates")
+
+
+def _judged(docs: DataFrame, similarity: Fraction) -> DataFrame:
     sketched = written(sketches(docs), "sketches")
     found = written(components(links(docs, sketched, similarity)), "components")
     known = sketched.where("doc_id IS NOT NULL AND class IS NOT NULL").select("doc_id", "class")
@@ -305,18 +311,45 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataF
 
 
 def kept_documents(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """The documents that are kept, all columns; of rows that repeat one, any one stays."""
-    found = written(near_duplicates(docs, similarity), "judged")
-    key = ["doc_id", "text_id"]
-    out = written(found.where("NOT kept").select(*key).distinct(), "dropped")
-    key_of = [F.col("doc_id").cast("long"), F.xxhash64("text")]
-    names = [f"_{name}" for name in key]  # beside any columns the documents have
-    named = docs.withColumns(dict(zip(names, key_of)))
-    renamed = lambda df: df.toDF(*names)
-    kept = named.join(renamed(out), names, "left_anti")
-    twice = found.where("kept AND doc_id IS NOT NULL").groupBy(*key).agg(F.count("*").alias("n"))
-    twice = written(twice.where("n > 1").select(*key), "repeated")
-    if not twice.isEmpty():
-        one = kept.join(renamed(twice), names, "left_semi").dropDuplicates(names)
-        kept = kept.join(renamed(twice), names, "left_anti").unionByName(one)
-    return kept.select(*docs.columns)
+    """The documents that are kept, with all their columns: one of each group of near duplicates.
+
+    Every distinct pair of id and text is a document here, with or without an id. Rows that are equal in both are
+    one, and any one of them stays. Of a group the document with the least key stays; the key is its id,
+    or a hash of id and text where the id is null or has several texts. Texts without words are like nothing.
+    """
+    spark = docs.sparkSession
+    doc_id, text_id = F.col("doc_id").cast("long"), F.xxhash64("text")
+    with temporary(spark) as keep:
+        ids = docs.select(doc_id.alias("doc_id"), text_id.alias("text_id")).where("doc_id IS NOT NULL")
+        texts = ids.groupBy("doc_id").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi"))
+        shared = written(texts.where("lo <> hi").select("doc_id"), "shared-ids")
+        several = not shared.isEmpty()
+        shared = keep(shared, "shared-ids") if several else None
+        keyed = _keyed(docs, shared, "key", "text").select(F.col("key").alias("doc_id"), "text")
+        found = written(near_duplicates(keyed, similarity), "judged")
+        out = keep(found.where("NOT kept").select("doc_id").distinct(), "dropped")
+        twice = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+        twice = written(twice, "repeated")
+        twice = None if twice.isEmpty() else keep(twice, "repeated")
+    (key,) = unused(docs, "key")
+    kept = _keyed(docs, shared, key, *docs.columns)
+    named = lambda df: df.toDF(key)
+    kept = kept.join(named(out), key, "left_anti")
+    if twice is not None:
+        one = kept.join(named(twice), key, "left_semi").dropDuplicates([key])
+        kept = kept.join(named(twice), key, "left_anti").unionByName(one)
+    return kept.select(*(F.col(f"`{name}`") for name in docs.columns))
+
+
+def _keyed(docs: DataFrame, shared: DataFrame | None, key: str, *columns: str) -> DataFrame:
+    """Columns of the documents, and a key of their own that is never null."""
+    doc_id = F.col("doc_id").cast("long")
+    hashed = F.xxhash64(doc_id, "text", F.lit("document"))
+    wanted = [F.col(f"`{name}`") for name in columns]
+    if shared is None:
+        return docs.select(*wanted, F.coalesce(doc_id, hashed).alias(key))
+    (flag,) = unused(docs, "shared")
+    of = F.struct(F.col("doc_id").alias("id")).alias(flag)
+    rows = docs.join(shared.select(of), doc_id == F.col(f"{flag}.id"), "left")
+    own = F.when(F.col(flag).isNull(), doc_id)
+    return rows.select(*wanted, F.coalesce(own, hashed).alias(key))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm import tokens
-from affinia.llm.arrays import list_column, slices
+from affinia.llm.arrays import list_column, slices, utf8
 from affinia.llm.radix import part_offsets, running
 from affinia.sources.workspace import written
 
@@ -168,44 +168,55 @@ def _key(origin: np.ndarray, number: np.ndarray) -> np.ndarray:
     return origin << 48 | number
 
 
-_ENCODED = "part long, row long, doc_id long, ids array<int>, doc_tokens long"
+_ENCODED = "part long, row long, doc_id long, ids binary, doc_tokens long"
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocabulary: tuple, end_id: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary: tuple, end_id: int, part_bytes: int) -> Iterator[pa.RecordBatch]:
     context = TaskContext.get()
     part = (context.partitionId() if context else 0) << 32
     row = size = 0
     model = None
-    for rows, data, _ in slices(batches):
+    for rows, data, _ in slices(batches, limit=part_bytes):
         model = model or tokens.load(*vocabulary)
-        text, offsets = tokens.led(rows.column("text"))
-        found, codes, at = tokens.runs(text, offsets)
+        found, codes, at = model.units(*utf8(rows.column("text")))
         flat, starts = model.encode(found.to_pylist())
-        ids = tokens.gathered(flat, starts, codes)
-        ends = np.r_[0, np.cumsum(starts[codes + 1] - starts[codes])][at]
-        lengths = np.diff(ends)
-        every = np.insert(ids, ends[1:], end_id).astype(np.int32)
-        lists = np.split(every, np.cumsum(lengths + 1)[:-1])
+        # The ending id as one more unit, after the last one of each document.
+        codes = np.insert(codes, at[1:], len(starts) - 1)
+        flat, starts = np.append(flat, end_id).astype(_stored(vocabulary, end_id)), np.append(starts, len(flat) + 1)
+        upto = np.r_[0, np.cumsum(starts[codes + 1] - starts[codes])][at + np.arange(len(at))]
         n = rows.num_rows
-        columns = [np.full(n, part), np.arange(row, row + n), None, None, lengths + 1]
+        columns = [np.full(n, part), np.arange(row, row + n), None, None, np.diff(upto)]
         arrays = [None if x is None else pa.array(x, pa.int64()) for x in columns]
-        arrays[2], arrays[3] = rows.column("doc_id"), list_column(lists, pa.int32())
+        ids = np.ascontiguousarray(tokens.gathered(flat, starts, codes))
+        limits = pa.py_buffer(upto.astype(np.int64) * ids.itemsize)
+        arrays[2] = rows.column("doc_id")
+        arrays[3] = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, limits, pa.py_buffer(ids)]).cast(pa.binary())
         yield pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in _ENCODED.split(", ")])
         row, size = row + n, size + len(data)
-        if size >= PART_BYTES:
+        if size >= part_bytes:
             part, row, size = part + 1, 0, 0
 
 
-def encoded(docs: DataFrame, vocabulary: tuple, end_id: int = END_ID) -> DataFrame:
-    """Rows (part, row, doc_id, ids, doc_tokens), in parts of some megabytes of text or one document."""
+def _stored(vocabulary: tuple, end_id: int) -> str:
+    """Type of an id in stored bytes: two of them if the vocabulary allows it."""
+    kind, path = vocabulary
+    return "<u2" if max(tokens.load(kind, path).size, end_id + 1) <= 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, vocabulary: tuple, end_id: int = END_ID, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Rows (part, row, doc_id, ids, doc_tokens), in parts of some megabytes of text or one document.
+
+    Ids are stored as little-endian integers of two bytes, or of four if the vocabulary needs them.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(partial(_encode, vocabulary=vocabulary, end_id=end_id), _ENCODED)
+    return rows.mapInArrow(partial(_encode, vocabulary=vocabulary, end_id=end_id, part_bytes=part_bytes), _ENCODED)
 
 
-_PIECES = "doc_id long, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long"
+_PIECES = "doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long"
+_IDS, _CRC = "ids array<int>", "ids_crc32 long"
 
 
-def _placed(docs: pa.Table, numbers: pa.Table, steps: np.ndarray, window: int) -> pa.Table:
+def _placed(docs: pa.Table, numbers: pa.Table, steps: np.ndarray, window: int, digest: bool) -> pa.Table:
     """Pieces of the documents of one part."""
     docs = docs.sort_by("row")
     tokens_of = docs.column("doc_tokens").to_numpy()
@@ -228,20 +239,41 @@ def _placed(docs: pa.Table, numbers: pa.Table, steps: np.ndarray, window: int) -
     _, first_number, _, start, length, index, times, offset, sequence = steps[step].T
     at = index + number[piece] - first_number
     start = start + nth[piece] * window
-    ids = docs.column("ids").combine_chunks()
-    begin = ids.offsets.to_numpy().astype(np.int64)[doc[piece]] + start
-    flat = ids.values.to_numpy(zero_copy_only=False)
+    stored = docs.column("ids").cast(pa.large_binary()).combine_chunks()
+    _, limits, data = stored.buffers()
+    limits = np.frombuffer(limits, np.int64)[stored.offset : stored.offset + len(stored) + 1]
+    width = max(int(limits[-1] - limits[0]) // max(int(tokens_of.sum()), 1), 1)
+    flat = np.frombuffer(data, f"<u{width}", int(limits[-1]) // width)
+    begin = limits[doc[piece]] // width + start
     lists = [flat[b:e] for b, e in zip(begin.tolist(), (begin + length).tolist())]
+    if digest:
+        held = pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in lists], pa.int64())
+    else:
+        held = list_column([x.astype(np.int32) for x in lists], pa.int32())
     columns = [
-        docs.column("doc_id").take(pa.array(doc[piece])), pa.array(start), pa.array(length), list_column(lists, pa.int32()),
+        docs.column("doc_id").take(pa.array(doc[piece])), pa.array(start), pa.array(length), held,
         pa.array(tokens_of[doc[piece]]), pa.array(sequence + at // times), pa.array(offset + at % times * length),
     ]
-    return pa.Table.from_arrays(columns, names=[x.split()[0] for x in _PIECES.split(", ")])
+    return pa.Table.from_arrays(columns, names=_names(digest))
+
+
+def _names(digest: bool) -> list[str]:
+    return [x.split()[0] for x in _PIECES.format(ids=_CRC if digest else _IDS).split(", ")]
+
 
+def pieces(
+    docs: DataFrame,
+    vocabulary: tuple,
+    end_id: int = END_ID,
+    window: int = WINDOW,
+    part_bytes: int = PART_BYTES,
+    digest: bool = False,
+) -> DataFrame:
+    """Rows (doc_id, start, length, ids, doc_tokens, sequence_id, offset), one for each piece.
 
-def pieces(docs: DataFrame, vocabulary: tuple, end_id: int = END_ID, window: int = WINDOW) -> DataFrame:
-    """Rows (doc_id, start, length, ids, doc_tokens, sequence_id, offset), one for each piece."""
-    rows = written(encoded(docs, vocabulary, end_id), "ids")
+    With ``digest`` there is ``ids_crc32``, of the ids as little-endian integers of 32 bits, in place of the ids.
+    """
+    rows = written(encoded(docs, vocabulary, end_id, part_bytes), "ids")
     whole, rest = F.col("doc_tokens").cast("long"), F.col("doc_tokens") % window
     kinds = F.array(
         F.struct(F.lit(window).cast("long").alias("length"), F.floor(whole / window).alias("n")),
@@ -252,8 +284,9 @@ def pieces(docs: DataFrame, vocabulary: tuple, end_id: int = END_ID, window: int
     totals = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()  # one row a length, at most ``window``
     steps = plan({row["length"]: row["n"] for row in totals}, window)
     numbers = part_offsets(counts, "part", "length", "n")
-    place = partial(_placed, steps=steps, window=window)
-    return rows.groupBy("part").cogroup(numbers.groupBy("part")).applyInArrow(lambda left, right: place(left, right), _PIECES)
+    place = partial(_placed, steps=steps, window=window, digest=digest)
+    schema = _PIECES.format(ids=_CRC if digest else _IDS)
+    return rows.groupBy("part").cogroup(numbers.groupBy("part")).applyInArrow(lambda left, right: place(left, right), schema)
 
 
 def sequences(found: DataFrame) -> DataFrame:
@@ -261,21 +294,3 @@ def sequences(found: DataFrame) -> DataFrame:
     parts = F.sort_array(F.collect_list(F.struct("offset", "ids", "doc_id")))
     rows = found.groupBy("sequence_id").agg(parts.alias("parts"))
     return rows.select("sequence_id", F.flatten("parts.ids").alias("ids"), F.col("parts.doc_id").alias("doc_ids"))
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
-        lists = rows.column("ids")
-        flat, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-        crc = [zlib.crc32(flat[b:e].tobytes()) for b, e in zip(ends[:-1], ends[1:])]
-        rest = rows.drop_columns(["ids"])
-        yield rest.append_column("ids_crc32", pa.array(crc, pa.int64()))
-
-
-def piece_digests(found: DataFrame) -> DataFrame:
-    """The pieces with ``ids_crc32``, of their ids as little-endian integers of 32 bits, in place of the ids."""
-    rest = found.drop("ids")
-    schema = rest.withColumn("ids_crc32", F.lit(0).cast("long").alias("ids_crc32")).schema
-    return found.mapInArrow(_digest, schema).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
-    )

@@ -7,8 +7,9 @@ largest average of each filter over all chunks enters a logistic unit.
 The first layer is a sum of one table row per symbol, so scoring is
 lookups and additions.
 
-The network is trained in numpy on a bounded sample: at most ``sample_rows``
-documents of each label, none longer than ``sample_bytes``. It learns
+The network is trained in numpy on a bounded sample of whole documents: in the order of a hash of
+their ids, at most ``sample_rows`` of each label, and no more once these have ``sample_bytes``. How
+long a document is does not decide whether it is taken, and every chunk of it takes part in the maximum. It learns
 from equal shares of both labels; its intercept is then set to the shares of
 all labels.
 
@@ -29,10 +30,11 @@ from pyspark.sql import functions as F
 
 from affinia.llm.arrays import NOT_SPACE, slices, span_hashes, utf8, words
 from affinia.llm.labelled import in_fold, label_sample, labelled_texts
+from affinia.sources.workspace import written
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE_ROWS = 1_000
-SAMPLE_BYTES = 8_192
+SAMPLE_BYTES = 16 << 20
 CHUNK, STRIDE = 512, 256
 WIDTH, FILTERS, EMBEDDED = 5, 16, 8
 SYMBOLS, PAD = 513, 512
@@ -103,31 +105,28 @@ def _responses(network: Network, symbols: np.ndarray) -> np.ndarray:
     return np.maximum(out, 0, out=out)
 
 
-def _chunks(network: Network, laid: Layout, keep: bool = False):
-    """Mean response of each chunk; all responses too if they are to be kept."""
-    sums, all_responses = [], []
+def _chunks(network: Network, laid: Layout) -> np.ndarray:
+    """Mean response of each chunk."""
+    sums = []
     step = SLICE // STRIDE
     for block in range(0, int(laid.blocks[-1]), step):
         end = min(block + step, int(laid.blocks[-1]))
         found = _responses(network, laid.symbols[block * STRIDE : end * STRIDE + WIDTH])
         found[laid.symbols[block * STRIDE : end * STRIDE] == PAD] = 0
         sums.append(found.reshape(-1, STRIDE, found.shape[1]).sum(axis=1))
-        if keep:
-            all_responses.append(found)
-    means = _chunk_sums(np.concatenate(sums), laid.blocks) / laid.sizes[:, None]
-    return means, np.concatenate(all_responses) if keep else None
+    return _chunk_sums(np.concatenate(sums), laid.blocks) / laid.sizes[:, None]
 
 
 def probabilities(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     laid = layout(data, offsets)
-    means, _ = _chunks(network, laid)
+    means = _chunks(network, laid)
     pooled = np.maximum.reduceat(means, laid.blocks[:-1], axis=0)
     return 1 / (1 + np.exp(-np.clip(pooled @ network.output + network.intercept, -700, 700)))
 
 
 def _gradients(network: Network, laid: Layout, labels: np.ndarray) -> list[np.ndarray]:
     """Gradients of the mean log loss; only the chunk that wins a filter's maximum counts."""
-    means, responses = _chunks(network, laid, keep=True)
+    means = _chunks(network, laid)
     docs = len(labels)
     winners = np.empty((docs, FILTERS), np.int64)
     for d in range(docs):
@@ -145,7 +144,8 @@ def _gradients(network: Network, laid: Layout, labels: np.ndarray) -> list[np.nd
         at = winners[:, f, None] * STRIDE + span
         inside = at < ends[:, f, None]
         at = np.where(inside, at, 0)
-        inside &= responses[at, f] > 0
+        responses = sum(network.tables[j, :, f][laid.symbols[at + j]] for j in range(WIDTH)) + network.bias[f]
+        inside &= (responses > 0) & (laid.symbols[at] != PAD)
         at, weight = at[inside], np.broadcast_to(d_pooled[:, f, None], inside.shape)[inside]
         d_bias[f] = weight.sum()
         for j in range(WIDTH):
@@ -214,11 +214,14 @@ def fit(
     for row in known.groupBy(F.col("quality").cast("int").alias("q")).count().collect():
         if row["q"] in shares:
             shares[row["q"]] = row["count"]
-    short = F.octet_length("text") <= sample_bytes
+    order = (F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     for label in (0, 1):
-        sample = label_sample(labels.where(F.col("quality") == label), "quality", FOLDS, HELD_OUT, 4 * sample_rows)
-        rows = labelled_texts(docs.where(short), sample).where("text <> ''").select("doc_id", "text")
-        rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample_rows).toArrow()
+        sample = label_sample(labels.where(F.col("quality") == label), "quality", FOLDS, HELD_OUT, sample_rows)
+        rows = labelled_texts(docs, sample).where("text <> ''").select("doc_id", "text")
+        rows = written(rows.orderBy(*order).limit(sample_rows), "sample")
+        sizes = [row["n"] for row in rows.orderBy(*order).select(F.octet_length("text").alias("n")).collect()]
+        taken = int(np.searchsorted(np.cumsum(sizes) - sizes, sample_bytes)) if sizes else 0
+        rows = rows.orderBy(*order).limit(taken).toArrow()
         texts += rows.column("text").to_pylist()
         marks += [label] * rows.num_rows
     share = (shares[1] / sum(shares.values())) if sum(shares.values()) else 0.5

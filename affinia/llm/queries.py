@@ -107,7 +107,7 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = (tokens.WordEnds, _vocabulary("word_bpe_49k.json"))
-    return packing.piece_digests(packing.pieces(_documents(spark, folder), vocabulary))
+    return packing.pieces(_documents(spark, folder), vocabulary, digest=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

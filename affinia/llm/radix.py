@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from affinia.sources.workspace import written
 
 DIGIT_BITS = 12
-LEAST_PART, MOST_PART = 1 << 12, 1 << 20  # rows
+LEAST_PART, MOST_PART = 1 << 8, 1 << 20  # rows
 
 PLACE = "_place"
 _PART, _DIGIT = "_part", "_digit"
@@ -121,9 +121,8 @@ def ranked(rows: DataFrame, order: list[tuple[str, bool]], n_rows: int | None =
     bits = sum((high - low).bit_length() for _, low, high, _ in keys)
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part_rows = min(max(-(-ends["n"] // partitions), LEAST_PART), MOST_PART)
-    state = rows.withColumns(
-        {PLACE: F.monotonically_increasing_id(), _PART: F.spark_partition_id().cast("long")}
-    )
+    place = F.monotonically_increasing_id()
+    state = rows.withColumn(PLACE, place).withColumn(_PART, F.floor(F.col(PLACE) / part_rows))
     schema = state.withColumn(_DIGIT, F.lit(0).cast("long").alias(_DIGIT)).schema
     state = written(state.mapInArrow(partial(_first_digit, keys=keys), schema), "pass")
     for at in range(0, max(bits, 1), DIGIT_BITS):

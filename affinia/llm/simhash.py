@@ -22,7 +22,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +37,7 @@ _SPREAD = np.array(
 )
 _HALF_SEEDS = mix(np.arange(1, _HALVES + 1, dtype=U64))
 ROWS_IN_BUCKET = 5_000
-MOST_BUCKETS = 10_000  # of the id range; more rows make longer buckets, which are streamed
+_REPEATED = 10_000  # output rows of one batch
 
 
 def fingerprint_bits(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -149,70 +148,93 @@ _EDITED = (
 
 
 def _edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order; every bucket ends with a row that only follows its last document."""
+    """Rows in order; every bucket ends with a row that only follows its last document.
+
+    A row that stands for several equal ones is followed by itself but for the last time.
+    """
     last = None  # the row whose next one has not been seen
     for rows, data, offsets in slices(batches):
         own = fingerprint_bits(data, offsets)
-        ids, follows = rows.column("doc_id").to_pylist(), rows.column("follows").to_pylist()
+        ids, follows, times = (rows.column(name).to_pylist() for name in ("doc_id", "follows", "n"))
         texts = [text or "" for text in rows.column("text").to_pylist()]
-        here = [*([last] if last else []), *zip(ids, follows, texts, own)]
+        here = [*([last] if last else []), *zip(ids, follows, texts, own, times)]
         last = here[-1]
-        pairs = [(a, b) for a, b in zip(here, here[1:]) if not a[1]]
+        pairs = [(a, b, 1) for a, b in zip(here, here[1:]) if not a[1]]
+        pairs += [(a, a, a[4] - 1) for a, _, _ in pairs if a[4] > 1]
         if not pairs:
             continue
         edited = []
-        for (_, _, text, _), (_, _, after, _) in pairs:
+        for (_, _, text, _, _), (_, _, after, _, _), _ in pairs:
             cut = len(text) // 3
             edited.append(text[: len(text) - cut] + after[:cut])
-        mine, following = np.stack([a[3] for a, _ in pairs]), np.stack([b[3] for _, b in pairs])
+        mine, following = np.stack([a[3] for a, _, _ in pairs]), np.stack([b[3] for _, b, _ in pairs])
         changed = fingerprint_bits(*utf8(pa.array(edited, pa.string())))
         columns = [
-            pa.array([a[0] for a, _ in pairs], pa.int64()),
-            pa.array([len(a[2]) for a, _ in pairs], pa.int64()),
+            pa.array([a[0] for a, _, _ in pairs], pa.int64()),
+            pa.array([len(a[2]) for a, _, _ in pairs], pa.int64()),
             pa.array([hashlib.sha256(text.encode()).hexdigest() for text in edited]),
             pa.array(_hex(mine)),
             pa.array(_hex(changed)),
             pa.array(_alike(mine, changed)),
             pa.array(_alike(mine, following)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _EDITED.split(", ")])
+        found = pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _EDITED.split(", ")])
+        each = np.repeat(np.arange(len(pairs)), [n for _, _, n in pairs])
+        for begin in range(0, len(each), _REPEATED):
+            yield found.take(pa.array(each[begin : begin + _REPEATED]))
+
+
+def _ordered(key: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Both numbers as bytes that fall as the rows rise in order: descending keys, then hashes."""
+    both = np.stack([key, digest], axis=1).astype(np.int64).view(np.uint64) ^ U64(1 << 63)
+    return np.ascontiguousarray((~both).astype(">u8")).view("V16").ravel().view("S16")
+
+
+_DEALT = "bucket long, follows boolean, key long, hash long, doc_id long, n long, text string"
+
+
+def _dealt(tops: np.ndarray):
+    """Rows with their bucket. The first row of a bucket is sent once more, to the end of the one before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            place = _ordered(rows.column("key").to_numpy(), rows.column("hash").to_numpy())
+            bucket = np.searchsorted(tops, place, "right") - 1
+            first = np.flatnonzero(tops[bucket] == place)
+            for at, of, follows in ((None, bucket, False), (first, (bucket[first] - 1) % len(tops), True)):
+                part = rows if at is None else rows.take(pa.array(at))
+                columns = [pa.array(of), pa.array(np.full(len(of), follows))]
+                columns += [part.column(name) for name in ("key", "hash", "doc_id", "n", "text")]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _DEALT.split(", ")])
+
+    return run
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Every document against its edited text and the next document, in descending order of ids.
 
     The last third of the characters is replaced by the first characters of the next document.
-    Rows are dealt to ranges of ids and sorted there; the first row of each
-    range is sent once more to the range before it.
+    Rows are dealt to ranges of (id, hash of the text), so rows without id or of one id are spread
+    like any others; rows equal in both are sent as one row with their number. One bound for each
+    range of ``ROWS_IN_BUCKET`` rows passes through the driver.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), text.alias("text"))
-    rows = rows.withColumn("at", F.col("key").cast("double"))
-    count = rows.count()
-    buckets = min(max(1, count // ROWS_IN_BUCKET), MOST_BUCKETS)
-    shares = [i / buckets for i in range(1, buckets)] or [0.5]
-    found = rows.agg(F.percentile_approx("at", shares, 10 * MOST_BUCKETS)).first()[0] or []
-    bounds = [-float("inf"), *(sorted(set(found)) or [0.0]), float("inf")]
-    rows = Bucketizer(splits=bounds, inputCol="at", outputCol="bucket").transform(rows).drop("at")
-    tops = rows.groupBy("bucket").agg(F.max("key").alias("key")).collect()  # one row a bucket
-    tops = sorted((row["bucket"], row["key"]) for row in tops)
-    before = [(here, above, top) for (here, top), (above, _) in zip(tops, [*tops[1:], *tops[:1]])]
-    small = docs.sparkSession.createDataFrame(before, "bucket double, above double, key long")
-    rows = rows.withColumn("hash", F.xxhash64("text"))
-    first = rows.join(F.broadcast(small), ["bucket", "key"]).groupBy("above").agg(
-        F.max(F.struct("hash", "text")).alias("x")
-    )
-    columns = ("bucket", "follows", "key", "hash", "doc_id", "text")
-    follow = first.select(
-        F.col("above").alias("bucket"),
-        F.lit(True).alias("follows"),
-        F.lit(0).cast("long").alias("key"),
-        F.col("x.hash").alias("hash"),
-        F.lit(None).cast("long").alias("doc_id"),
-        F.col("x.text").alias("text"),
-    )
-    all_rows = rows.withColumn("follows", F.lit(False)).select(*columns).unionByName(follow)
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
+    key = F.coalesce(doc_id, F.lit(-(2**63)).cast("long"))
+    rows = docs.select(doc_id.alias("doc_id"), key.alias("key"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    order = written(rows.select("key", "hash").groupBy("key", "hash").agg(F.count("*").alias("n")), "order")
+    count = order.count()
+    if not count:
+        return docs.sparkSession.createDataFrame([], _EDITED)
+    ranges = -(-count // ROWS_IN_BUCKET)
+    ranged = order.repartitionByRange(ranges, F.desc("key"), F.desc("hash"))
+    tops = ranged.groupBy(F.spark_partition_id()).agg(F.max(F.struct("key", "hash")).alias("x")).select("x.*").toArrow()
+    tops = np.sort(_ordered(tops.column("key").to_numpy(), tops.column("hash").to_numpy()))
+    several = written(order.where("n > 1").select("key", "hash"), "repeated")
+    single = rows.withColumn("n", F.lit(1).cast("long"))
+    if not several.isEmpty():
+        once = single.join(several, ["key", "hash"], "left_anti")
+        again = rows.join(several, ["key", "hash"]).groupBy("key", "hash", "doc_id", "text").agg(F.count("*").alias("n"))
+        single = once.unionByName(again)
+    dealt = single.mapInArrow(_dealt(tops), _DEALT).repartition("bucket")
     order = ("bucket", "follows", F.desc("key"), F.desc("hash"))
-    sorted_rows = all_rows.repartition("bucket").sortWithinPartitions(*order)
-    return sorted_rows.select("doc_id", "follows", "text").mapInArrow(_edit, _EDITED)
+    return dealt.sortWithinPartitions(*order).select("doc_id", "follows", "n", "text").mapInArrow(_edit, _EDITED)

@@ -14,11 +14,11 @@ beginning of a suffix. A window is repeated if it starts anywhere else too.
    by eight bytes at a time to ``SHALLOW`` bytes, then blind tries for the groups
    that remain. Suffixes that share ``LENGTH`` bytes are repeated.
 4. A key with more than ``WIDE_KEY`` distinct pieces is not sorted in one task: its
-   windows become rows that Spark groups by their hash.
+   windows become rows that Spark groups by their bytes in all tasks.
 5. Repeated windows are joined to their documents as spans, merged and cut out.
 
-Pieces and windows are compared by 64-bit hashes under a 64-bit key in steps 2
-and 4, and by their bytes in step 3.
+Pieces are compared by 64-bit hashes under a 64-bit key in step 2, windows by their bytes in steps 3
+and 4. Most removed bytes are those of whole pieces, which step 2 finds; the sort decides the edges.
 
 Defined results: a null or empty text has no bytes and keeps the digest of
 nothing; texts shorter than ``LENGTH`` are never cut; each of several equal
@@ -41,7 +41,7 @@ LENGTH = 200
 GRAM = 40
 SHALLOW = 40  # bytes sorted before blind tries take over
 LONGEST_PIECE = 4096  # windows
-WIDE_KEY = 30_000  # distinct pieces
+WIDE_KEY = 1_000  # distinct pieces
 BATCH_BYTES = 1 << 20  # of piece text sorted at once
 WORD = 8
 
@@ -281,12 +281,12 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _window_rows(length: int):
-    """Every window of a piece by its hash."""
+    """Every window of a piece by its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(0, batch.num_rows, 1000):
-                part = batch.slice(row, 1000)
+            for row in range(0, batch.num_rows, 25):
+                part = batch.slice(row, 25)
                 data, offsets = _binary(part.column("content"))
                 windows = np.diff(offsets) - length + 1
                 piece = np.repeat(np.arange(len(windows)), windows)
@@ -296,7 +296,15 @@ def _window_rows(length: int):
                     pa.array(part.column("key").to_numpy()[piece]),
                     pa.array(part.column("digest").to_numpy()[piece]),
                     pa.array(at.astype(np.int32)),
-                    pa.array(span_hashes(data, begin, begin + length).view(np.int64)),
+                    pa.BinaryArray.from_buffers(
+                        pa.binary(),
+                        len(begin),
+                        [
+                            None,
+                            pa.py_buffer((np.arange(len(begin) + 1) * length).astype(np.int32)),
+                            pa.py_buffer(data[begin[:, None] + np.arange(length)].ravel()),
+                        ],
+                    ),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "at", "window"])
 
@@ -305,7 +313,7 @@ def _window_rows(length: int):
 
 def _wide_spans(contents: DataFrame, length: int) -> DataFrame:
     """Repeated spans of the pieces of wide keys, window by window."""
-    rows = contents.mapInArrow(_window_rows(length), "key long, digest long, at int, window long")
+    rows = contents.mapInArrow(_window_rows(length), "key long, digest long, at int, window binary")
     rows = written(rows, "windows")
     twice = rows.groupBy("key", "window").agg(F.count("*").alias("n")).where("n > 1").select("key", "window")
     hit = rows.join(written(twice, "repeated-windows"), ["key", "window"])

@@ -44,7 +44,7 @@ LEAST_PRIOR = 0.5  # documents, of each token
 LEAST_DEVIANCE = 25.0  # of the likelihood ratio test, as for five standard deviations
 PREFIXES = (8, 6, 5, 4)  # bytes
 DRIFT = 0.1
-MOST_EVIDENCE = 60.0
+SATURATED = 60.0  # more evidence does not change the probability
 EULER = 0.5772156649015329
 
 _SCORED = (
@@ -202,8 +202,6 @@ def _evidence(normal: np.ndarray) -> float:
         total += x
         least = total - (r - 1) * log(max(total, 1.0)) + lgamma(r + 1) + lgamma(r)
         best = max(best, least - (r - 1) * log(2))
-        if best >= MOST_EVIDENCE:
-            return MOST_EVIDENCE
     return best
 
 
@@ -239,7 +237,7 @@ def _score(model: Model):
                 text = data[offsets[row] : offsets[row + 1]]
                 passages.append(_in_characters(text, offsets[row], found, normal))
             x = np.array(evidence)
-            score = 1 / (1 + np.exp(-(model.intercept + model.slope * x)))
+            score = 1 / (1 + np.exp(-(model.intercept + model.slope * np.minimum(x, SATURATED))))
             columns = [part.column("doc_id"), pa.array(score), pa.array(x)]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("e_value", pa.float64())]))
             columns.append(pa.array(passages, kind))
@@ -275,23 +273,29 @@ def _score_histogram(model: Model):
     return run
 
 
-def _best_segments(model: Model):
-    """Label, token count and all segment scores of each labelled document."""
+def _per_label(model: Model, value):
+    """Rows (doc_id, label, value) of labelled documents; ``value`` takes the token count and all segment scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _finder(model.tokens)
         for part, data, offsets in slices(batches):
-            counts, best = [], []
-            for count, found in _segments(data, offsets, model, find):
-                counts.append(count)
-                best.append(sorted((score for _, _, score in found), reverse=True)[:64])
-            columns = [part.column("doc_id"), part.column("label"), pa.array(counts, pa.int64())]
-            columns.append(pa.array(best, pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "n", "best"])
+            found = [
+                value(count, np.array([score for _, _, score in segments]))
+                for count, segments in _segments(data, offsets, model, find)
+            ]
+            columns = [part.column("doc_id"), part.column("label"), pa.array(found, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "value"])
 
     return run
 
 
+def _labelled_values(known: DataFrame, model: Model, value) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and values. Repeated rows count once, so no more rows come back than the sample has."""
+    found = known.mapInArrow(_per_label(model, value), "doc_id long, label int, value double")
+    found = found.groupBy("doc_id").agg(F.max(F.struct("label", "value")).alias("x")).select("x.*").toArrow()
+    return found.column("label").to_numpy(), found.column("value").to_numpy(zero_copy_only=False).astype(float)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Intercept and slope by Newton steps with a small ridge; the slope is not negative."""
     beta, design = np.zeros(2), np.column_stack([np.ones(len(x)), x])
@@ -324,18 +328,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     drift = DRIFT + max(0.0, float(frequencies @ scores))
     rate = _rate(scores - drift, frequencies) if (scores > drift).any() else 1.0
     model = Model(tokens, odds, drift, rate, 0.0, 0.0, 0.0)
-    schema = "doc_id long, label int, n long, best array<double>"
-    found = known.mapInArrow(_best_segments(model), schema)
-    # Repeated rows count once, so no more rows come back than the sample has.
-    found = found.groupBy("doc_id").agg(F.max(F.struct("label", "n", "best")).alias("x"))
-    found = found.select("x.*").toArrow()
-    label = found.column("label").to_numpy()
-    n = np.maximum(found.column("n").to_numpy(), 1)
-    best = [np.array(x) for x in found.column("best").to_pylist()]
-    top = np.array([rate * x[0] if len(x) else np.nan for x in best]) - np.log(n)
+    # The location of the best segment's score among clean documents, then the evidence of all segments.
+    label, top = _labelled_values(
+        known, model, lambda count, raw: rate * raw.max() - log(max(count, 1)) if len(raw) else None
+    )
     usual = top[(label == 0) & ~np.isnan(top)]
     log_k = float(np.median(usual)) + log(log(2)) if len(usual) else -EULER
-    x = np.array([_evidence(rate * b - log_k - log(c)) for b, c in zip(best, n)])
+    label, x = _labelled_values(
+        known, model, lambda count, raw: min(_evidence(rate * raw - log_k - log(max(count, 1))), SATURATED)
+    )
     intercept, slope = _logistic(x, label.astype(float))
     return Model(tokens, odds, drift, rate, log_k, intercept, slope)
 
