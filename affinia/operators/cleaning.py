@@ -46,26 +46,40 @@ def latest_ratings(ratings: DataFrame) -> DataFrame:
 
 def active_users(ratings: DataFrame, minimum: int) -> DataFrame:
     """Users with at least ``minimum`` ratings."""
-    return user_activity(ratings).filter(F.col("n") >= minimum).select(S.USER)
+    return _reaching(user_activity(ratings), minimum, S.USER)
 
 
 def popular_items(ratings: DataFrame, minimum: int) -> DataFrame:
     """Items with at least ``minimum`` ratings."""
-    return item_popularity(ratings).filter(F.col("n") >= minimum).select(S.ITEM)
+    return _reaching(item_popularity(ratings), minimum, S.ITEM)
 
 
-def keep_active_users(ratings: DataFrame, minimum: int) -> DataFrame:
-    """Ratings of active users.
+def _reaching(counts: DataFrame, minimum: int, key: str) -> DataFrame:
+    return counts.filter(F.col("n") >= minimum).select(key)
+
+
+def _kept(ratings: DataFrame, counts: DataFrame, minimum: int, key: str, stored: bool) -> DataFrame:
+    """Ratings whose key is counted at least ``minimum`` times.
 
     Rebalancing puts a shuffle of the few keys between the count and the join. Only then may Spark split a
-    user with very many ratings over several tasks.
+    key with very many ratings over several tasks. Counts that are ``stored`` need none: they are read with
+    a filter, so where the kept keys are few Spark makes a bloom filter of them, and drops ratings of others
+    where they are read, before the shuffle.
     """
-    return ratings.join(active_users(ratings, minimum).hint("rebalance"), S.USER, "left_semi")
+    keys = _reaching(counts, minimum, key)
+    return ratings.join(keys if stored else keys.hint("rebalance"), key, "left_semi")
+
+
+def keep_active_users(ratings: DataFrame, minimum: int, counts: DataFrame | None = None) -> DataFrame:
+    """Ratings of active users; ``counts`` is the stored activity, if there is one."""
+    found = user_activity(ratings) if counts is None else counts
+    return _kept(ratings, found, minimum, S.USER, counts is not None)
 
 
-def keep_popular_items(ratings: DataFrame, minimum: int) -> DataFrame:
-    """Ratings of popular items; a very popular one is split in the same way."""
-    return ratings.join(popular_items(ratings, minimum).hint("rebalance"), S.ITEM, "left_semi")
+def keep_popular_items(ratings: DataFrame, minimum: int, counts: DataFrame | None = None) -> DataFrame:
+    """Ratings of popular items, in the same way."""
+    found = item_popularity(ratings) if counts is None else counts
+    return _kept(ratings, found, minimum, S.ITEM, counts is not None)
 
 
 def clean(
@@ -80,14 +94,17 @@ def clean(
     once.
 
     Each threshold reads the ratings twice, to count and to filter. With
-    ``store``, for which see ``workspace.staging``, the table is written before
+    ``store``, for which see ``workspace.staging``, the table and its counts are written before
     each threshold, so that no step runs twice.
     """
+    stored = lambda counts, label: store(counts, label) if store else None
     kept = latest_ratings(drop_nulls(ratings))
     if preset.min_user_ratings > 1:
         kept = store(kept, "latest") if store else kept
-        kept = keep_active_users(kept, preset.min_user_ratings)
+        counts = stored(user_activity(kept), "user-activity")
+        kept = keep_active_users(kept, preset.min_user_ratings, counts)
     if preset.min_item_ratings > 1:
         kept = store(kept, "active") if store else kept
-        kept = keep_popular_items(kept, preset.min_item_ratings)
+        counts = stored(item_popularity(kept), "item-popularity")
+        kept = keep_popular_items(kept, preset.min_item_ratings, counts)
     return kept.select(S.USER, S.ITEM, S.RATING, S.TIMESTAMP)

@@ -162,6 +162,28 @@ def test_hot_keys_are_split_after_deduplication(spark, small_skew_limits):
     assert "skew=true" in final_plan_of(cleaning.keep_popular_items(items, 2))
 
 
+def test_ratings_of_dropped_users_do_not_reach_the_shuffle(spark, stored):
+    ratings = _with_hot_key(spark, S.USER, S.ITEM)
+    limits = {
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        with workspace.staging(spark) as store:
+            kept = cleaning.clean(ratings, Preset(100, 0, rank=1), store)
+            plan = plan_of(kept)
+            assert "might_contain" in plan and "bloom_filter_agg" in plan
+            exchange = re.search(r"Exchange hashpartitioning\(userId.*?might_contain", plan, re.S)
+            assert exchange  # the filter stands below the shuffle of the ratings
+            assert {row[S.USER] for row in kept.select(S.USER).distinct().collect()} == {0}
+            assert kept.count() == 10_020
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+
+
 def test_a_title_in_most_lists_is_split(spark, stored, small_skew_limits):
     ranked = _with_hot_key(spark, S.ITEM, S.USER)
     assert "skew=true" in final_plan_of(lookup.with_titles(ranked, stored[1]))
