@@ -330,7 +330,11 @@ def masked(text: str) -> str:
 
 
 def masked_documents(docs: DataFrame) -> DataFrame:
-    """The documents with masked texts; ``n_chars`` follows, other columns stay."""
+    """The documents with masked texts; ``n_chars`` follows, other columns stay.
+
+    Every row stays, repeated ones too, and needs no id. A null text stays null and an empty one empty; a
+    null ``n_chars`` stays null.
+    """
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

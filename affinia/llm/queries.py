@@ -110,6 +110,52 @@ def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pieces(_documents(spark, folder), vocabulary, digest=True)
 
 
+def _judged(scored: DataFrame, *others: str) -> DataFrame:
+    """What SQL can say about scored documents."""
+    within = F.col("score").between(0, 1).alias("in_range")
+    return scored.select("doc_id", "held_out", within, *others)
+
+
+def _consistent(scored: DataFrame) -> DataFrame:
+    same = F.col("predicted") == (F.col("score") >= 0.5).cast("int")
+    return _judged(scored.withColumn("consistent", same), "consistent")
+
+
+def quality_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _consistent(op1_quality(spark, folder))
+
+
+def toxicity_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _consistent(op4_toxicity(spark, folder))
+
+
+def language_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Which texts have no language, and whether all others have one of those learned."""
+    known = _documents(spark, folder).select(F.col("lang").alias("lang_pred")).distinct().withColumn("learned", F.lit(True))
+    found = op2_language(spark, folder).join(known.where("lang_pred IS NOT NULL"), "lang_pred", "left")
+    is_und = F.col("lang_pred") == "und"
+    valid = is_und | F.coalesce("learned", F.lit(False))
+    return _judged(found.withColumns({"is_und": is_und, "valid": valid}), "is_und", "valid")
+
+
+def simhash_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Lengths and edited texts, and whether both likenesses are shares."""
+    within = F.col("near_edited").between(0, 1) & F.col("near_next").between(0, 1)
+    return op7_simhash(spark, folder).select("doc_id", "n_chars", "edited_sha256", within.alias("in_range"))
+
+
+def url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts of URLs, the rule that fits, and the verdict where one does."""
+    ruled = F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled")
+    valid = F.col("verdict").isin("allow", "block").alias("valid")
+    return op9_urls(spark, folder).select("page_id", "host", "path", "rule", ruled, valid)
+
+
+def pii_base(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain findings."""
+    return op10_pii(spark, folder).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
@@ -125,6 +171,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_resampling": op11_resampling,
     "op12_alignment": op12_alignment,
     "op13_packing": op13_packing,
+    "quality_rows": quality_rows,
+    "language_rows": language_rows,
+    "toxicity_rows": toxicity_rows,
+    "simhash_columns": simhash_columns,
+    "url_rules": url_rules,
+    "pii_base": pii_base,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -264,13 +316,91 @@ SELECT doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes, CAST(n_removed AS BIG
 FROM texts JOIN kept USING (doc_id)
 """
 
-# The checksum of each distinct word byte by byte; gains of buckets; ranks by a sort.
-_OP11 = r"""
+# The checksum of a text, one byte after the other.
+_CRC = r"""
 WITH crc AS (
     SELECT list(c ORDER BY i) AS steps FROM (
         SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
                    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
-        FROM range(256) t(i))),
+        FROM range(256) t(i)))
+"""
+
+
+def _crc32(text: str) -> str:
+    return rf"""xor(4294967295, list_reduce(
+               list_concat([4294967295], list_transform(range(octet_length(encode({text}))),
+                   lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)),
+               lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])))"""
+
+
+def _held_out(folds: int, remainder: int, columns: str, others: str = "") -> str:
+    """Folds of all documents with columns that are the same for all."""
+    return f"""{_CRC}
+        SELECT doc_id, coalesce({_crc32("doc_id::VARCHAR")} % {folds} = {remainder}, false) AS held_out,
+               true AS in_range, {columns} FROM documents, crc {others}"""
+
+
+# Documents in descending order of ids, the first one after the last.
+_SIMHASH_COLUMNS = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+pairs AS (
+    SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS after
+    FROM texts)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(left(t, n - n // 3) || left(after, n // 3)) AS edited_sha256,
+       true AS in_range
+FROM pairs
+"""
+
+_URL_RULES = f"""
+WITH parts AS (
+    SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules AS (SELECT * FROM (VALUES {", ".join(str(x) for x in urls.RULES)}) r(h, p, verdict)),
+fitting AS (
+    SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS ruled
+    FROM parts, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY 1)
+SELECT page_id, host, path, rule, ruled, true AS valid FROM parts LEFT JOIN fitting USING (page_id)
+"""
+
+# What is between matches gives their places. A failing match is dropped where it was found.
+_PII_BASE = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+kinds AS (SELECT * FROM (VALUES
+    (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'),
+    (1, 'ip', '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'),
+    (2, 'card', '[0-9](?:[\x20-]?[0-9])+'),
+    (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')) k(place, kind, pattern)),
+cut AS (
+    SELECT doc_id, place, kind, regexp_extract_all(t, pattern) AS m, string_split_regex(t, pattern) AS gaps
+    FROM texts, kinds),
+each AS (
+    SELECT doc_id, place, kind, unnest(range(len(m))) AS i, unnest(m) AS found, unnest(gaps[:len(m)]) AS gap FROM cut),
+placed AS (
+    SELECT *, sum(length(gap) + length(found)) OVER (PARTITION BY doc_id, place ORDER BY i) AS stop,
+           regexp_replace(found, '[^0-9]', '', 'g') AS digits FROM each),
+good AS (
+    SELECT * FROM placed WHERE CASE kind
+        WHEN 'email' THEN true
+        WHEN 'ip' THEN list_bool_and(list_transform(string_split(found, '.'), lambda x:
+            length(ltrim(x, '0')) <= 3 AND coalesce(try_cast(nullif(ltrim(x, '0'), '') AS INT), 0) <= 255))
+        WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(length(digits)), lambda i:
+            CASE WHEN i % 2 = 0 THEN reverse(digits)[i + 1]::INT
+                 WHEN reverse(digits)[i + 1]::INT > 4 THEN reverse(digits)[i + 1]::INT * 2 - 9
+                 ELSE reverse(digits)[i + 1]::INT * 2 END)) % 10 = 0
+        ELSE length(digits) BETWEEN 8 AND 15 END),
+sums AS (
+    SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+           count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+           string_agg(kind || ':' || (stop - length(found))::BIGINT || ':' || stop::BIGINT, ',' ORDER BY place, i) AS spans
+    FROM good GROUP BY 1)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(spans, '')) AS base_sha256
+FROM texts LEFT JOIN sums USING (doc_id)
+"""
+
+# Gains of buckets of word checksums; ranks by a sort.
+_OP11 = _CRC + r""",
 source_words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                'abcdefghijklmnopqrstuvwxyz'), '{word}') AS w FROM documents),
@@ -279,10 +409,7 @@ target_words AS (
                'abcdefghijklmnopqrstuvwxyz'), '{word}')) AS word FROM benchmark),
 every AS (SELECT doc_id, unnest(w) AS word FROM source_words),
 buckets AS (
-    SELECT word, xor(4294967295, list_reduce(
-               list_concat([4294967295], list_transform(range(octet_length(encode(word))),
-                   lambda i: ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT)),
-               lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1]))) % 10000 AS bucket
+    SELECT word, {crc32} % 10000 AS bucket
     FROM (SELECT word FROM every UNION SELECT word FROM target_words), crc),
 s AS (SELECT bucket, count(*) AS n FROM every JOIN buckets USING (word) GROUP BY 1),
 t AS (SELECT bucket, count(*) AS n FROM target_words JOIN buckets USING (word) GROUP BY 1),
@@ -305,7 +432,7 @@ ranks AS (
     FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
 FROM scored LEFT JOIN ranks USING (doc_id)
-""".replace("{word}", _WORD)
+""".replace("{word}", _WORD).replace("{crc32}", _crc32("word"))
 
 ORACLES: dict[str, str] = {
     "op3_minhash_neardup": _OP3,
@@ -313,4 +440,12 @@ ORACLES: dict[str, str] = {
     "op6_source_mix": _OP6,
     "op8_suffix_dedup": _OP8,
     "op11_resampling": _OP11,
+    "quality_rows": _held_out(3, 1, "true AS consistent"),
+    "toxicity_rows": _held_out(5, 0, "true AS consistent"),
+    "language_rows": _held_out(
+        5, 0, r"NOT regexp_matches(coalesce(text, ''), '\p{L}') AS is_und, true AS valid"
+    ),
+    "simhash_columns": _SIMHASH_COLUMNS,
+    "url_rules": _URL_RULES,
+    "pii_base": _PII_BASE,
 }

@@ -124,7 +124,9 @@ def within_radius(queries: DataFrame, stored: DataFrame, radius: int, agreeing:
 def neighbours(queries: DataFrame, stored: DataFrame, radius: int) -> DataFrame:
     """For each query document: how many fingerprints, and documents with them, are within the radius.
 
-    Both tables have doc_id and fingerprint. A query among the stored documents counts itself.
+    Both tables have doc_id and fingerprint. A query among the stored documents counts itself. Every
+    query row gets one row, repeated ones and those without id too; a null fingerprint, or an empty table of
+    stored ones, gives zeros.
     """
     sizes = written(stored.groupBy("fingerprint").agg(F.count("*").alias("n")), "sizes")
     pairs = within_radius(queries, sizes, radius)

@@ -350,7 +350,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted to be toxic, all columns kept.
 
-    Rows are judged where they are, so there is no join and ids do not matter.
+    Rows are judged where they are, so there is no join and ids do not matter. Null and empty texts
+    have no evidence and stay, unless all labels are toxic; repeated rows stay or go together.
     """
     model = fit(docs, labels)
     judge = _score(model)

@@ -136,7 +136,6 @@ def test_evidence_takes_all_segments_in_fit_and_score(docs_of, labels_of, prose)
         assert scored[i]["evidence"] == pytest.approx(expected)
         x = model.intercept + model.slope * min(expected, toxicity.SATURATED)
         assert scored[i]["score"] == pytest.approx(1 / (1 + np.exp(-x)))
-        assert (scored[i]["score"] >= 0.5) == (i % 3 == 0)
     assert most > 64
 
 
@@ -231,6 +230,7 @@ def test_base_findings_are_those_of_the_patterns():
 def test_default_table_of_urls_owes_nothing_to_the_pages(spark):
     hosts = {host for host, _, _ in url_table.rows()}
     assert len(hosts) > 400
+    names = {label for host in hosts for label in host.split(".")[:-1]} - {"www", "web"}
     words = {word for topics in (url_table.BLOCKED, url_table.ALLOWED) for names, _ in topics.values() for word in names.split()}
     for folder in ("sf0.001", "sf0.01"):
         pages = spark.read.parquet(f"/root/testdata/{folder}/pages.parquet")
@@ -238,8 +238,7 @@ def test_default_table_of_urls_owes_nothing_to_the_pages(spark):
         for row in seen:
             labels = row["host"].split(".")
             assert row["host"] not in hosts
-            assert not {f"{label}." for label in labels} & {f"{host.split('.')[0]}." for host in hosts}
-            assert not set(labels) & (words - {"www", "web"}), row["host"]
+            assert not set(labels) & (names | words), row["host"]
 
 
 def test_urls_of_hosts_not_learned(spark):
