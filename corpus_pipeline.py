@@ -1,6 +1,11 @@
 """Raw documents to a training mix, in five stages.
 
-Every stage reads what the one before wrote and takes (spark, docs, sf_dir).
+Every stage reads what the one before wrote and takes (spark, docs, sf_dir). All columns pass through all
+stages, whatever they are called; only the last one adds ``copies`` and ``taken`` and replaces columns of
+these names. An empty table stays empty. Null and empty texts are not toxic, like nothing else, hold no
+benchmark passage and no personal data, and are in the mix as often as their source is. Rows need no id:
+rows equal in id and text are one document to the second stage, all others are told apart. What a
+stage writes on the way is deleted when its result is stored.
 """
 
 from fractions import Fraction
@@ -8,7 +13,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 
 from affinia.llm import decontam, mixing, neardup, pii, toxicity
-from affinia.sources.workspace import written
+from affinia.sources.workspace import temporary
 
 NEAR_COPY = Fraction(80, 100)  # op3's 85/100 binds that query alone
 
@@ -54,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of ``documents``; every stage but the last is stored before the next begins."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with temporary(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
