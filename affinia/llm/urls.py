@@ -28,6 +28,7 @@ from affinia.llm import url_table
 FEATURES = 1 << 16
 SIZES = (3, 4)
 STEPS = 25  # of the optimiser
+BLOCKED_SHARE = 0.1
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Host, beginning of the path, verdict.
@@ -91,10 +92,20 @@ def _cut(table: DataFrame, *others: str) -> DataFrame:
 
 
 def train(table: DataFrame) -> LogisticRegressionModel:
-    """A model of a labelled table (url, label). Rows without a label are left out."""
+    """A model of a labelled table (url, label). Rows without a label are left out.
+
+    Rows are weighed so that ``BLOCKED_SHARE`` of the weight is to be blocked, as if URLs were met at random: what
+    is like nothing in the table is then allowed.
+    """
     rows = _cut(table, F.col("label").cast("double").alias("label")).where("label IS NOT NULL")
-    estimator = LogisticRegression(regParam=0.001, maxIter=STEPS, standardization=False)
-    return estimator.fit(_features(rows))
+    share = rows.agg(F.avg("label")).first()[0]
+    if share is None or share in (0.0, 1.0):
+        raise ValueError("a model needs URLs of both labels")
+    weight = F.when(F.col("label") == 1, BLOCKED_SHARE / share).otherwise((1 - BLOCKED_SHARE) / (1 - share))
+    estimator = LogisticRegression(
+        regParam=0.0002, maxIter=STEPS, standardization=False, weightCol="weight"
+    )
+    return estimator.fit(_features(rows.withColumn("weight", weight)))
 
 
 def held_out(table: DataFrame, folds: int = 5) -> DataFrame:
