@@ -31,6 +31,7 @@ from affinia.llm.arrays import list_column, slices
 from affinia.sources.workspace import written
 
 BLOCK_BYTES = 8 << 20
+_SLICE_BYTES = 1 << 20  # of text that is aligned at once
 _LARGE_GROUP = 4096  # links; larger groups are linked by distinct ids
 
 
@@ -268,7 +269,7 @@ def _blocks(
         }
         return _batch(1, {"block": pa.array([block])} | {k: list_column([x], _LISTS[k]) for k, x in lists.items()})
 
-    for rows, data, _ in slices(batches):
+    for rows, data, _ in slices(batches, limit=_SLICE_BYTES):
         runs = runs or _Runs(tokens.load(*first), tokens.load(*second))
         out, here = _documents(runs, rows.column("text"), rows.column("doc_id"), block)
         here[: len(counts)] += counts

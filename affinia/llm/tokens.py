@@ -23,7 +23,8 @@ from affinia.llm.arrays import utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_REMEMBERED = 200_000  # words or units
+_REMEMBERED = 200_000  # units
+_REMEMBERED_WORDS = 60_000
 _LONGEST_REMEMBERED = 32  # bytes
 
 
@@ -115,7 +116,7 @@ class ByteLevel:
         ids = [b"".join([known(w) or word(w) for w in _ASCII_WORDS(texts[i])]) for i in together.tolist()]
         rest = self._tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)
         ids += [np.array(x.ids, np.int32).tobytes() for x in rest]
-        if len(self._known) > _REMEMBERED:
+        if len(self._known) > _REMEMBERED_WORDS:
             self._known.clear()
         counts = np.zeros(len(found), np.int64)
         order = np.concatenate([together, alone])
