@@ -316,3 +316,19 @@ def test_many_parts_of_a_benchmark(docs_of, benchmark_of, prose):
     assert Counter(map(str, many)) == Counter(map(str, one))
     assert Counter(map(str, cleaned)) == Counter(map(str, clean))
     assert any(row["n_hit"] for row in one) and not all(row["n_hit"] for row in one)
+
+
+def _folders(spark):
+    return set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).iterdir())
+
+
+def test_near_duplicates_leave_nothing_but_their_result(spark, docs_of, prose):
+    rows = [(i, prose(i // 2, 80) + (" end" if i % 2 else ""), "en", "a") for i in range(40)]
+    before = _folders(spark)
+    found = neardup.near_duplicates(docs_of(rows))
+    assert len(_folders(spark) - before) == 1
+    assert sum(row["kept"] for row in found.collect()) == 20
+    before = _folders(spark)
+    kept = STAGES["near_duplicates"](spark, docs_of(rows), "")
+    assert len(_folders(spark) - before) <= 2  # what the lazy result reads
+    assert kept.count() == 20
