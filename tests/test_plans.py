@@ -126,6 +126,17 @@ def test_one_partition_is_one_cell(stored, monkeypatch):
     assert found.count() == 120
 
 
+def test_small_slices_do_not_multiply_the_cells(stored):
+    from affinia.operators import grid
+
+    _, _, factors = stored
+    found = grid.top_n(factors, factors, 3, cosine=True, skip_self=True, slice_bytes=4 * 4)
+    # Forty slices of one item: each vector is sent to eight cells, not to forty, and no cell is lost.
+    assert re.search(r"shufflepartitionidpassthrough\(.*, 64\), REPARTITION_BY_NUM", plan_of(found))
+    whole = grid.top_n(factors, factors, 3, cosine=True, skip_self=True)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+
+
 @pytest.fixture
 def small_skew_limits(spark, stored):
     limits = {
