@@ -2,13 +2,15 @@
 
 Directions of vectors are hashed by random projections. A key joins several projections, and
 each table has keys of its own: items that share a key in any table are candidates, whose
-exact cosines decide. A bucket with more than ``most`` items is cut by further projections. Items of
+exact cosines decide. A bucket is searched where its items are and gives a short list for each; pairs are not formed. A bucket with more than ``most`` items is cut by further projections. Items of
 buckets that stay too large, and items with too few candidates, are searched exactly, so
 every item gets as many rows as the exact search gives it. Only what is found may differ.
 
 Items with equal vectors are hashed once and listed together, however many they are.
 """
 
+from functools import partial
+
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from affinia import schemas as S
 from affinia.functions.vectors import cosine_from, dot, norm
+from affinia.operators import nearest
 from affinia.operators.grid import top_n
 from affinia.operators.lookup import in_catalog, with_titles
 from affinia.operators.scoring import usable
@@ -96,21 +99,17 @@ def top_n_approx(
     if reps.where(F.col(S.LENGTH) > 0).isEmpty():
         return top_n(factors, factors, n, cosine=True, skip_self=True)
     placed, crowded = _buckets(written(_keys(reps, tables, width, depths, seed), "keys"), depths, most)
-    with_vector = placed.join(reps, "rep").select(
-        "table", "depth", "key", F.struct("rep", S.FEATURES, S.LENGTH).alias("of")
-    )
-    key = ["table", "depth", "key"]
-    pairs = with_vector.withColumnRenamed("of", "a").join(with_vector.withColumnRenamed("of", "b"), key)
-    pairs = pairs.where("a.rep <> b.rep").select(
-        F.col("a.rep").alias("rep"), F.col("b.rep").alias("other"), _score("a", "b").alias("score")
-    )
-    pairs = pairs.groupBy("rep", "other").agg(F.max("score").alias("score"))
+    bucket = F.xxhash64("table", "depth", "key").alias("bucket")
+    bucketed = placed.join(reps, "rep").select(bucket, F.col("rep").cast("int"), S.FEATURES)
+    bucketed = bucketed.repartition("bucket").sortWithinPartitions("bucket")
+    pairs = bucketed.mapInArrow(partial(nearest.search_buckets, n=n + 1), "rep int, other int, score double")
     # A vector's own copies are as similar as can be.
     own = reps.where(F.col(S.LENGTH) > 0).alias("a").join(reps.alias("b"), F.col("a.rep") == F.col("b.rep"))
     own = own.select(F.col("a.rep").alias("rep"), F.col("a.rep").alias("other"), _score("a", "b").alias("score"))
     best_first = W.partitionBy("rep").orderBy(F.desc("score"), "other")
-    pairs = pairs.unionByName(own).withColumn("number", F.row_number().over(best_first))
-    listed = pairs.where(F.col("number") <= n + 1).select("rep", "other", "score")
+    # A pair that shares several buckets has the same score, and so the same rank, each time.
+    pairs = pairs.unionByName(own).withColumn("number", F.dense_rank().over(best_first))
+    listed = pairs.where(F.col("number") <= n + 1).select("rep", "other", "score").dropDuplicates(["rep", "other"])
     of_other = members.select(F.col("rep").alias("other"), F.col(S.ID).alias("right"))
     by_score = W.partitionBy("rep").orderBy(F.desc("score"), "right")
     listed = listed.join(of_other, "other").withColumn("number", F.row_number().over(by_score))

@@ -1,11 +1,12 @@
 """Similar items by hashing against the exact search."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from affinia import schemas as S
-from affinia.operators import approximate, grid
+from affinia.operators import approximate, grid, nearest
 from tests.conftest import tuples
 
 
@@ -53,3 +54,25 @@ def test_short_and_odd_tables_are_searched_exactly(factors_of, catalog_of):
     catalog = catalog_of([(i, f"t{i}", "g") for i in (1, 2, 6)])
     titles = approximate.similar_items_approx(factors, catalog, 2)
     assert tuples(titles.select("target_id", S.ITEM)) == [(1, 2), (1, 6), (2, 1), (2, 6), (6, 1), (6, 2)]
+
+
+def test_buckets_give_short_lists_and_no_pairs(monkeypatch):
+    """Buckets of 1, 2, 40 and 600 items, cut at odd places into batches."""
+    monkeypatch.setattr(nearest, "CHUNK", 64)
+    draw = np.random.default_rng(5)
+    buckets = np.repeat(np.array([-7, 3, 9, 4], dtype=np.int64), [1, 2, 40, 600])
+    ids = draw.permutation(len(buckets)).astype(np.int32)
+    vectors = draw.normal(size=(len(ids), 4)).astype(np.float32)
+    vectors[100:160] = vectors[100]
+    rows = pa.record_batch({"bucket": buckets, "rep": ids, "features": pa.array(list(vectors))})
+    cuts = [0, 2, 2, 30, 44, 300, len(ids)]
+    batches = [rows.slice(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:])]
+    found = pa.Table.from_batches(nearest.search_buckets(iter(batches), 5)).to_pylist()
+    expected = set()
+    unit = vectors.astype(np.float64) / np.linalg.norm(vectors.astype(np.float64), axis=1)[:, None]
+    for i in range(len(ids)):
+        same = [j for j in np.flatnonzero(buckets == buckets[i]) if j != i]
+        best = sorted(same, key=lambda j: (-round(float(unit[i] @ unit[j]), 9), ids[j]))[:5]
+        expected |= {(int(ids[i]), int(ids[j])) for j in best}
+    assert {(row["rep"], row["other"]) for row in found} == expected
+    assert len(found) == len(expected) == 2 + 40 * 5 + 600 * 5
