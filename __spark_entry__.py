@@ -70,8 +70,9 @@ def _trained(spark: SparkSession, folder: str) -> tuple[ALSModel, DataFrame]:
     """A stored model and the stored ratings, marked as train or test, behind it."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _MODELS:
-        cleaned = cleaning.clean(tables.ratings(spark, folder), CLEANING)
-        split = written(splitting.with_split(cleaned), "split", (S.SPLIT,))
+        with workspace.staging(spark) as store:
+            cleaned = cleaning.clean(tables.ratings(spark, folder), CLEANING, store)
+            split = written(splitting.with_split(cleaned), "split", (S.SPLIT,))
         model = factorize.fit(
             splitting.side(split, S.TRAIN), CLEANING.rank, CLEANING.max_iter, CLEANING.reg_param
         )

@@ -137,6 +137,24 @@ def test_small_slices_do_not_multiply_the_cells(stored):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
 
 
+def test_a_trained_model_cleans_step_by_step(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    plans, clean = [], cleaning.clean
+
+    def noted(*args):
+        found = clean(*args)
+        plans.append(plan_of(found))
+        return found
+
+    monkeypatch.setattr(entry.cleaning, "clean", noted)
+    monkeypatch.setattr(entry, "_MODELS", {})
+    _, split = entry._trained(spark, entry.SMOKE_DIR)
+    # The last threshold reads what the one before has stored, and does not clean anew.
+    assert "lineitem" not in plans[0] and "HashAggregate" not in plans[0]
+    assert split.count() == clean(entry.tables.ratings(spark, entry.SMOKE_DIR), entry.CLEANING).count() > 0
+
+
 @pytest.fixture
 def small_skew_limits(spark, stored):
     limits = {
