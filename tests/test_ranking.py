@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -342,3 +343,15 @@ def test_properties(factors_of, ratings_of, seed):
     assert len(cosines) == 15 * 14
     assert all(-1 - 1e-12 <= c <= 1 + 1e-12 for c in cosines.values())
     assert all(cosines[b, a] == pytest.approx(c, abs=1e-12) for (a, b), c in cosines.items())
+
+
+def test_seen_items_of_users_without_vectors_do_not_wait():
+    items = nearest.ItemSlice(np.arange(50), np.ones((50, 2), np.float32), cosine=False)
+    waiting = nearest._Waiting(items)
+    keys = [3, 4, 5, 5, 6, 7]  # 5 has a vector, that of 7 may be in the next batch
+    seen = [[1, 2], [3], [4, 99], None, [5, 6, 7], [8]]
+    vectors = [None, None, None, [1.0, 2.0], None, None]
+    columns = [pa.array(keys, pa.int32()), pa.array(seen, pa.list_(pa.int32())), pa.array(vectors, pa.list_(pa.float32()))]
+    waiting.add(pa.RecordBatch.from_arrays(columns, names=["key", "seen", "features"]), 2)
+    assert np.concatenate(waiting.seen_user).tolist() == [5, 7]
+    assert waiting.n_seen == 2 and waiting.n_users == 1
