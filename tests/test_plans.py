@@ -155,6 +155,20 @@ def test_a_trained_model_cleans_step_by_step(spark, monkeypatch):
     assert split.count() == clean(entry.tables.ratings(spark, entry.SMOKE_DIR), entry.CLEANING).count() > 0
 
 
+def test_unseen_lists_are_compared_without_a_second_join_of_orders(spark, stored, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "_MODELS", {})
+    found = entry._als_recommend_all_unseen(spark, entry.SMOKE_DIR)
+    rows = found.collect()
+    assert rows and all(row["exact"] for row in rows)
+    plan = plan_of(found).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1 and "ReusedExchange" in plan
+    # The window stands on the join with users, which has each list in one place.
+    below = plan[plan.index("Window [lag(") :]
+    assert below.index("SortMergeJoin [userId") < below.index("Exchange")
+
+
 @pytest.fixture
 def small_skew_limits(spark, stored):
     limits = {
