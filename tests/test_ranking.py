@@ -355,3 +355,20 @@ def test_seen_items_of_users_without_vectors_do_not_wait():
     waiting.add(pa.RecordBatch.from_arrays(columns, names=["key", "seen", "features"]), 2)
     assert np.concatenate(waiting.seen_user).tolist() == [5, 7]
     assert waiting.n_seen == 2 and waiting.n_users == 1
+
+
+@pytest.mark.parametrize("slice_bytes", [grid.SLICE_BYTES, 300 * 4 * 8])
+@pytest.mark.parametrize("cosine", [False, True])
+def test_large_tables_are_searched_without_copies(spark, monkeypatch, factors_of, slice_bytes, cosine):
+    """More than the bytes that are copied, in several blocks of users and of items; a third of the items are copies."""
+    monkeypatch.setattr(grid, "_USER_BLOCK", 200 * 4 * 8)
+    monkeypatch.setattr(grid, "_ITEM_BLOCK", 150 * 4 * 8)
+    monkeypatch.setattr(nearest, "CHUNK", 64)
+    users, items = random_factors(11, 1100, 8), random_factors(12, 1300, 8, copies=400)
+    items += [(2000, [float("nan")] * 8), (2001, None)]
+    found = grid.top_n(factors_of(users), factors_of(items), 6, cosine=cosine, skip_self=True, slice_bytes=slice_bytes)
+    same = {(i, i) for i, _ in users}
+    assert rounded(found) == brute_force(users, items[:-2], 6, same, cosine)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # No vector is repeated before a shuffle, and nothing goes through the driver.
+    assert "Generate" not in plan and "CartesianProduct" in plan and "Broadcast" not in plan
