@@ -76,3 +76,74 @@ def test_buckets_give_short_lists_and_no_pairs(monkeypatch):
         expected |= {(int(ids[i]), int(ids[j])) for j in best}
     assert {(row["rep"], row["other"]) for row in found} == expected
     assert len(found) == len(expected) == 2 + 40 * 5 + 600 * 5
+
+
+def _blocks_of(user_ids, users, item_ids, items):
+    """A row of a block of users and one of items, as a task gets them."""
+    columns = (user_ids.astype(np.int32), users.ravel(), item_ids.astype(np.int32), items.ravel())
+    return [pa.RecordBatch.from_arrays([pa.array([c]) for c in columns], names=["a", "b", "c", "d"])]
+
+
+def _lists(batches):
+    return sorted(zip(*(c.to_pylist() for c in pa.Table.from_batches(list(batches)).columns)))
+
+
+@pytest.mark.parametrize("kind", ["spread", "odd", "random"])
+def test_exact_search_skips_cells_and_loses_nothing(kind, monkeypatch):
+    """Lists equal those of all pairs, ties and vectors of length 0 included, from fewer pairs where directions allow it."""
+    draw = np.random.default_rng(9)
+    dims = 64 if kind == "random" else 4
+    vectors = draw.normal(size=(12_000, dims)).astype(np.float32)
+    if kind == "odd":
+        vectors[:40], vectors[3000:5000], vectors[5000:5050] = 0, vectors[3000], vectors[5000:5050] * np.float32(1e-30)
+    ids = draw.permutation(len(vectors)) * 3
+    users = np.concatenate([np.arange(0, 12_000, 20), np.arange(10), np.arange(3000, 3010)])
+    products = [0]
+    visit = nearest.Cells._visit
+
+    def visited(items, found, rows, lo, hi):
+        products[0] += len(rows) * (hi - lo)
+        visit(items, found, rows, lo, hi)
+
+    monkeypatch.setattr(nearest.Cells, "_visit", visited)
+    blocks, parts = ([x[i : i + step] for i in range(0, len(x), step)] for x, step in ((users, 300), (np.arange(len(ids)), 5000)))
+    rows = [row for mine in blocks for part in parts for row in _blocks_of(ids[mine], vectors[mine], ids[part], vectors[part])]
+    found = _lists(nearest.search_blocks(iter(rows), 10, dims, True, True))
+    expected = []
+    for mine in blocks:
+        best = nearest._Best(ids[mine], vectors[mine], 10)
+        best.add(nearest.ItemSlice(ids, vectors, True), True)
+        expected.append(best.found())
+    assert found == _lists(expected) and len(found) == 10 * len(users)
+    if kind == "spread":
+        assert 0 < products[0] < 0.25 * len(users) * len(ids)
+
+
+def test_blocks_of_users_with_other_items(monkeypatch):
+    """A task keeps the items of one block of users for the next, which may meet fewer, others or more of them."""
+    monkeypatch.setattr(nearest, "_CELL", 16)
+    draw = np.random.default_rng(4)
+    ids, vectors = draw.permutation(900), draw.normal(size=(900, 3)).astype(np.float32)
+    meets = [(0, 1, 2), (0, 1, 2), (0, 1), (0, 2), (1,), (1, 2, 0), (1, 2, 0)]
+    rows, expected = [], []
+    for number, parts in enumerate(meets):
+        mine = np.arange(number * 50, number * 50 + 50)
+        items = np.concatenate([np.arange(300 * k, 300 * k + 300) for k in parts])
+        for k in parts:
+            part = np.arange(300 * k, 300 * k + 300)
+            rows += _blocks_of(ids[mine], vectors[mine], ids[part], vectors[part])
+        best = nearest._Best(ids[mine], vectors[mine], 5)
+        best.add(nearest.ItemSlice(ids[items], vectors[items], True), True)
+        expected.append(best.found())
+    assert _lists(nearest.search_blocks(iter(rows), 5, 3, True, True)) == _lists(expected)
+
+
+def test_query_searches_all_pairs_once(spark, monkeypatch):
+    """Recall and exactness read one result of the exact search, which is most of the query's work."""
+    import __spark_entry__ as entry
+
+    labels, keep = [], entry.written
+    monkeypatch.setattr(entry, "written", lambda df, label, *how: labels.append(label) or keep(df, label, *how))
+    row = entry.queries()["similar_items_approx"](spark, entry.SMOKE_DIR).first()
+    assert row["n_rows"] > 0 and row["exact_scores"]
+    assert labels.count("exact") == 1
