@@ -211,3 +211,13 @@ def test_scores_of_known_pairs(fitted):
     model, train, _ = fitted
     scored = scoring.score_pairs(train, model.userFactors, model.itemFactors, model.rank)
     assert scored.count() == train.count()
+
+
+def test_fits_keep_nothing_in_the_memory_of_executors(spark, planted):
+    """Blocks and factors grow with the ratings; they are on disk, so several fits at once leave memory to tasks."""
+    als = factorize._estimator(1, 2)
+    assert als.getIntermediateStorageLevel() == als.getFinalStorageLevel() == "DISK_ONLY"
+    model = factorize.fit(planted, RANK, 2, REG, blocks=2)
+    kept = [x for x in spark.sparkContext._jsc.sc().getRDDStorageInfo() if x.name() in ("userFactors", "itemFactors")]
+    assert model.userFactors.count() == 200
+    assert [x for x in kept if x.diskSize() > 0] and max(x.memSize() for x in kept) == 0
